@@ -122,8 +122,8 @@ def squares(spark, folder):
 
 
 def squares_of_range(spark, folder):
-    n = read_table(spark, folder, "orders").count()
-    return keyed_sum(squared_pairs(int_range(spark, 1, n, slices=10), "x"), "k", "n")
+    n = read_table(spark, folder, "supplier").count()
+    return keyed_sum(squared_pairs(int_range(spark, 1, n), "x"), "k", "n")
 
 
 def latest_row(spark, folder):

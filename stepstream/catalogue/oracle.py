@@ -113,7 +113,7 @@ ORACLES = {
     "keyed_sum": _SQUARES,
     "keyed_sum_range": """
         SELECT CAST(x * x AS BIGINT) AS k, CAST(sum(1) AS BIGINT) AS n
-        FROM (SELECT row_number() OVER () AS x FROM orders) GROUP BY ALL
+        FROM (SELECT row_number() OVER () AS x FROM supplier) GROUP BY ALL
     """,
     "latest_row": _LATEST + "1",
     "latest_n": _LATEST + "10",

@@ -39,42 +39,44 @@ from stepstream.streaming import (
     UpsertSink,
     run_step,
 )
-from stepstream.streaming.handle import AVAILABLE_NOW
+from stepstream.streaming.handle import AVAILABLE_NOW, ROCKSDB_STATE
 from stepstream.workspace import new_dir
 
 SPANS = 4
 
 
-def in_batches(batches, step, make_sink, mode="append"):
+def in_batches(batches, step, make_sink, mode="append", landed_as="parquet", conf=None):
     """Feed ``batches`` one by one through ``step`` into a sink and return the handles of the runs.
 
     ``make_sink`` gets a path and the schema of the step's result.
     """
     first = batches[0]
     spark = first.sparkSession
-    landing = RowLanding(spark, new_dir(spark, "landing"), first.schema)
+    landing = RowLanding(spark, new_dir(spark, "landing"), first.schema, landed_as)
     queue = BatchQueue(landing)
     for batch in batches:
         queue.put(batch)
     stepped = step(landing.stream())
     sink = make_sink(new_dir(spark, "result"), stepped.schema)
-    step_id, checkpoint = f"step-{uuid4().hex}", new_dir(spark, "checkpoint")
+    checkpoint = new_dir(spark, "checkpoint")
+    return queue.drain(lambda: run_through(stepped, sink, mode, conf, checkpoint))
 
-    def run_pending():
-        handle = run_step(stepped, step_id, sink, mode, AVAILABLE_NOW, checkpoint)
-        try:
-            handle.wait()
-        finally:
-            handle.stop()
-        return handle
 
-    return queue.drain(run_pending)
+def run_through(stepped, sink, mode="append", conf=None, checkpoint=None):
+    """Run a step on all rows that are there, and return its handle once it has ended."""
+    step_id = f"step-{uuid4().hex}"
+    handle = run_step(stepped, step_id, sink, mode, AVAILABLE_NOW, checkpoint, conf)
+    try:
+        handle.wait()
+    finally:
+        handle.stop()
+    return handle
 
 
 def _bounds(events):
     """Starts of all spans but the first: four equal parts of the time that the events cover."""
-    micros = epoch_micros(events, "ts")
-    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    low, high = ends.select(epoch_micros(ends, "low"), epoch_micros(ends, "high")).first()
     if low is None:
         return []
     epoch = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -110,20 +112,28 @@ def append_rows(spark, folder):
 def step_chain(spark, folder):
     """Reads the table's own files as a stream, without landing them first."""
     stepped = table_stream(spark, folder, "lineitem").transform(double_twice)
-    sink = FileSink(new_dir(spark, "result"), stepped.schema)
-    handle = run_step(stepped, f"step-{uuid4().hex}", sink, trigger=AVAILABLE_NOW)
-    handle.wait()
-    return handle.table()
+    return run_through(stepped, FileSink(new_dir(spark, "result"), stepped.schema)).table()
 
 
 def words(spark, folder):
-    batches = _parts(read_table(spark, folder, "documents").select("lang", "text"), "lang")
-    runs = in_batches(batches, lambda df: word_count(df, "text"), CompleteSink, "complete")
+    """Documents arrive as lines of text, one language after the other."""
+    documents = read_table(spark, folder, "documents").select("lang", "text")
+    runs = in_batches(
+        [part.select(F.col("text").alias("value")) for part in _parts(documents, "lang")],
+        lambda lines: word_count(lines, "value"),
+        CompleteSink,
+        "complete",
+        landed_as="text",
+        conf=ROCKSDB_STATE,
+    )
     return runs[-1].table()
 
 
 def top_words(spark, folder):
-    return top_counts(words(spark, folder), 10)
+    """Reads the table's own files as a stream; only changed counts are written."""
+    counts = word_count(table_stream(spark, folder, "documents"), "text")
+    sink = UpsertSink(new_dir(spark, "result"), counts.schema, ["value"])
+    return top_counts(run_through(counts, sink, "update", ROCKSDB_STATE).table(), 10)
 
 
 def _parts(df, column):
@@ -253,10 +263,7 @@ def live_and_snapshot(spark, folder):
 
     def run(batch):
         landing.add_rows(batch)
-        step_id = f"step-{uuid4().hex}"
-        handle = run_step(landing.stream(), step_id, sink, "append", AVAILABLE_NOW, checkpoint)
-        handle.wait()
-        return handle
+        return run_through(landing.stream(), sink, checkpoint=checkpoint)
 
     handle = run(first)
     snapshot = handle.snapshot()

@@ -12,15 +12,23 @@ from stepstream.schema import MAP_ROW, StepSchema
 
 
 class RowLanding:
-    """Append-only parquet directory that feeds a live step.
+    """Append-only directory of files that feeds a live step.
 
     With a :class:`StepSchema` the rows are string maps and :meth:`add_row` takes
-    their values; with a ``StructType`` they are typed records.
+    their values; with a ``StructType`` they are typed records, or lines if it is
+    one string column and ``file_format`` is ``text``.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: StepSchema | T.StructType):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StepSchema | T.StructType,
+        file_format: str = "parquet",
+    ):
         self.spark = spark
         self.path = path
+        self.file_format = file_format
         self.step_schema = schema if isinstance(schema, StepSchema) else None
         self.schema = MAP_ROW if self.step_schema else schema
 
@@ -28,7 +36,7 @@ class RowLanding:
         """Append a DataFrame of any size, or a few rows that the driver holds, as one write."""
         if not isinstance(rows, DataFrame):
             rows = self._local_rows(rows)
-        rows.select(*self.schema.names).write.mode("append").parquet(self.path)
+        rows.select(*self.schema.names).write.mode("append").format(self.file_format).save(self.path)
 
     def add_row(self, values: Sequence[str | None] | None = None) -> None:
         """Append one row, by default that of the step schema. Each call writes a file."""
@@ -47,14 +55,15 @@ class RowLanding:
     def stream(self, files_per_batch: int | None = None) -> DataFrame:
         """Rows that have landed and those to come. ``files_per_batch`` bounds a micro-batch."""
         nothing = self.spark.createDataFrame([], self.schema)
-        nothing.write.mode("ignore").parquet(self.path)  # the source needs the directory to exist
-        reader = self.spark.readStream.schema(self.schema)
+        # The source needs the directory to exist.
+        nothing.write.mode("ignore").format(self.file_format).save(self.path)
+        reader = self.spark.readStream.schema(self.schema).format(self.file_format)
         if files_per_batch is not None:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        return reader.parquet(self.path)
+        return reader.load(self.path)
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).format(self.file_format).load(self.path)
 
 
 class BatchQueue:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,6 +13,12 @@ from stepstream.workspace import new_dir
 
 OUTPUT_MODES = ("append", "update", "complete")
 AVAILABLE_NOW = "available-now"
+# Keeps the state of a step on the executors' disks; for steps with very many keys.
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+}
 _PROGRESS = (
     "step_id STRING, batch_id BIGINT, started STRING, source STRING, "
     "num_input_rows BIGINT, late_groups_dropped BIGINT"
@@ -91,12 +100,14 @@ def run_step(
     mode: str = "append",
     trigger: str | None = None,
     checkpoint: str | None = None,
+    conf: Mapping[str, str] | None = None,
 ) -> StepHandle:
     """Start a streaming DataFrame under ``step_id`` and return its handle.
 
     ``trigger`` is an interval (``"3 seconds"``), :data:`AVAILABLE_NOW` to process
     what is there and end, or ``None`` to start each micro-batch when the last one
     is done. A run with the ``checkpoint`` of an earlier one goes on where that ended.
+    ``conf`` holds session settings for this query alone, e.g. :data:`ROCKSDB_STATE`.
     """
     if mode not in OUTPUT_MODES:
         raise ValueError(f"mode must be one of {', '.join(OUTPUT_MODES)}, not {mode!r}")
@@ -110,4 +121,20 @@ def run_step(
         writer = writer.trigger(availableNow=True)
     elif trigger is not None:
         writer = writer.trigger(processingTime=trigger)
-    return StepHandle(writer.start(), sink, df)
+    with _settings(spark, conf or {}):  # a query keeps the settings it was started with
+        return StepHandle(writer.start(), sink, df)
+
+
+@contextlib.contextmanager
+def _settings(spark, conf):
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

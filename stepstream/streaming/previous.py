@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stepstream.operators.aggregate import latest_by_key
 from stepstream.operators.previous import previous_value
-from stepstream.streaming.sinks import BATCH_ID, Sink, _read_parts
+from stepstream.streaming.sinks import BATCH_ID, Sink, _read_parts, _sized
 
 _CARRIED = "_carried"
 
@@ -65,7 +65,7 @@ class PreviousSink(Sink):
         result.where(~F.col(_CARRIED)).drop(_CARRIED).write.mode("overwrite").parquet(out)
         first, *rest = self.order_by
         last = latest_by_key(rows.select(*self.state_schema.names), self.keys, first, rest)
-        last.write.mode("overwrite").parquet(self._state_path(batch_id))
+        _sized(last).write.mode("overwrite").parquet(self._state_path(batch_id))
 
     def table(self, spark):
         schema = T.StructType([*self.schema.fields, T.StructField(self.name, T.LongType())])

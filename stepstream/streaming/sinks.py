@@ -91,7 +91,8 @@ class BatchSink(Sink):
         return writer.foreachBatch(self.write_batch)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        self.step(batch).write.mode("overwrite").parquet(f"{self.path}/{BATCH_ID}={batch_id}")
+        place = f"{self.path}/{BATCH_ID}={batch_id}"
+        _sized(self.step(batch)).write.mode("overwrite").parquet(place)
 
     def table(self, spark):
         return _read_parts(spark, self.path, self.schema, BATCH_ID)
@@ -157,7 +158,8 @@ class CompleteSink(Sink):
 
     def _write(self, batch, batch_id):
         place = f"{self.path}/version={batch_id % self.versions}"
-        batch.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(place)
+        numbered = batch.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+        _sized(numbered).write.mode("overwrite").parquet(place)
 
     def table(self, spark):
         full = T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
@@ -166,6 +168,11 @@ class CompleteSink(Sink):
         return stored.where(F.col("version") == F.lit(newest)).select(*self.schema.names)
 
 
+def _sized(df):
+    """Files of a useful size, where a stateful step would write one per shuffle partition."""
+    return df.hint("rebalance")
+
+
 def _read_parts(spark, path, schema, part):
     """Partitioned files under ``path``; an empty table when no batch has been written."""
     full = T.StructType([*schema.fields, T.StructField(part, T.LongType())])

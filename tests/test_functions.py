@@ -1,0 +1,103 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stepstream.functions import (
+    epoch_micros,
+    epoch_millis,
+    epoch_seconds,
+    instant,
+    squared_pairs,
+    wall_clock,
+    with_arrival_time,
+    words,
+)
+from stepstream.plans import chain, sql_step, step_exprs
+
+# (wall-clock time, microseconds since the epoch); the second lies in a gap of US local time.
+CLOCKS = [
+    ("1969-12-31 23:59:58.500000", -1_500_000),
+    ("2024-03-10 02:30:00.123456", 1_710_037_800_123_456),
+    ("2024-11-03 01:30:00.000001", 1_730_597_400_000_001),
+    (None, None),
+]
+
+
+@pytest.fixture
+def clocks(spark):
+    rows = [(i, text) for i, (text, _) in enumerate(CLOCKS)]
+    df = spark.createDataFrame(rows, "id INT, text STRING").coalesce(1)
+    return df.select("id", F.col("text").cast("timestamp_ntz").alias("ts"))
+
+
+def column(df, c):
+    return [r[0] for r in df.orderBy("id").select(c).collect()]
+
+
+def floor(value, unit):
+    return None if value is None else value // unit
+
+
+def test_epoch_values_of_wall_clock_time_in_any_zone(clocks, zone):
+    micros = [m for _, m in CLOCKS]
+    assert column(clocks, epoch_micros(clocks, "ts")) == micros
+    assert column(clocks, epoch_millis(clocks, "ts")) == [floor(m, 10**3) for m in micros]
+    assert column(clocks, epoch_seconds(clocks, "ts")) == [floor(m, 10**6) for m in micros]
+
+
+def test_epoch_values_of_instants_in_any_zone(clocks, zone):
+    micros = [m for _, m in CLOCKS]
+    instants = clocks.select("id", instant(clocks, "ts").alias("ts"))
+    assert instants.schema["ts"].dataType.typeName() == "timestamp"
+    assert column(instants, epoch_micros(instants, "ts")) == micros
+    assert column(instants, epoch_millis(instants, "ts")) == [floor(m, 10**3) for m in micros]
+    assert column(instants, epoch_seconds(instants, "ts")) == [floor(m, 10**6) for m in micros]
+
+
+def test_instant_and_wall_clock_are_inverse(clocks, zone):
+    instants = clocks.select("id", "ts", instant(clocks, "ts").alias("at"))
+    back = instants.select("id", F.col("ts").eqNullSafe(wall_clock(F.col("at"))).alias("same"))
+    assert column(back, "same") == [True] * len(CLOCKS)
+
+
+def test_arrival_time_is_one_value(events):
+    times = with_arrival_time(events).select("Now").distinct().collect()
+    assert len(times) == 1
+    assert abs(times[0][0] - dt.datetime.now()) < dt.timedelta(days=1)
+
+
+EDGE_WORDS = [" a  b ", "", "  ", "A a", None, "x\ty\nz"]
+
+
+def test_words(spark):
+    df = spark.createDataFrame([(w,) for w in EDGE_WORDS], "line STRING").coalesce(1)
+    assert [r[0] for r in words(df, "line").collect()] == ["a", "b", "A", "a", "x", "y", "z"]
+
+
+def test_words_with_leading_empties(spark):
+    df = spark.createDataFrame([(w,) for w in EDGE_WORDS], "line STRING").coalesce(1)
+    found = [r[0] for r in words(df, "line", drop_empty=False).collect()]
+    assert found == ["", "a", "b", "", "A", "a", "x", "y", "z"]
+
+
+def test_squared_pairs_do_not_overflow_int(spark):
+    pairs = squared_pairs(spark.createDataFrame([(100_000,), (-3,)], "x INT"), "x")
+    assert sorted(tuple(r) for r in pairs.collect()) == [(9, 1), (10_000_000_000, 1)]
+
+
+def test_steps_chain(spark):
+    rows = spark.createDataFrame([("ValueOne", 10, 10.99)], "ColumnOne STRING, ColumnTwo INT, ColumnThree DOUBLE")
+    steps = chain(
+        step_exprs("*", "ColumnTwo * 2 ColumnFour"),
+        step_exprs("*", "ColumnFour * 2 ColumnFive"),
+        sql_step("SELECT ColumnOne, ColumnFive + {plus} AS total FROM {src}", plus=2),
+    )
+    assert tuple(rows.transform(steps).first()) == ("ValueOne", 42)
+
+
+def test_sql_step_does_not_paste_text(spark):
+    rows = spark.createDataFrame([(1,)], "a INT")
+    with pytest.raises(PySparkException):
+        sql_step("SELECT missing FROM {src}")(rows)

@@ -1,0 +1,117 @@
+import dataclasses
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from stepstream.functions import to_map_rows, typed_projection
+from stepstream.schema import MAP_ROW, StepSchema
+
+DYNAMIC = StepSchema(
+    ["ColumnOne", "ColumnTwo", "ColumnThree"],
+    ["String", "Integer", "Double"],
+    ["This is a String", "100", "10.999"],
+)
+
+
+def test_unequal_lengths_are_refused():
+    with pytest.raises(ValueError, match="unequal lengths"):
+        StepSchema(["a", "b"], ["int"], ["1", "2"])
+
+
+def test_duplicate_names_are_refused():
+    with pytest.raises(ValueError, match="duplicate column names: a"):
+        StepSchema(["a", "b", "a"], ["int"] * 3)
+
+
+def test_empty_schema_is_refused():
+    with pytest.raises(ValueError):
+        StepSchema([], [])
+
+
+def test_struct_type_keeps_declared_order(spark):
+    names = ["f", "e", "d", "c", "b", "a"]
+    wide = StepSchema(names, ["int"] * 6, list("123456"))
+    assert wide.struct_type().names == names
+    row = spark.range(1).select(wide.map_column().alias("map")).transform(
+        lambda df: typed_projection(df, wide)
+    )
+    assert row.columns == names
+    assert tuple(row.first()) == (1, 2, 3, 4, 5, 6)
+
+
+def test_any_ddl_type_is_taken_and_others_are_not(spark):
+    schema = StepSchema(["d", "t", "m"], ["Date", "Timestamp", "Decimal(10,2)"])
+    assert [f.dataType for f in schema.struct_type()] == [
+        T.DateType(),
+        T.TimestampType(),
+        T.DecimalType(10, 2),
+    ]
+    with pytest.raises(PySparkException):
+        StepSchema(["n"], ["Number"]).struct_type()
+
+
+def test_schema_of_a_record(spark):
+    @dataclasses.dataclass
+    class Record:
+        name: str
+        count: int
+        price: float | None
+
+    schema = StepSchema.from_record(Record)
+    assert schema.struct_type() == T.StructType.fromDDL("name STRING, count BIGINT, price DOUBLE")
+
+    @dataclasses.dataclass
+    class Unknown:
+        parts: list
+
+    with pytest.raises(TypeError, match="parts"):
+        StepSchema.from_record(Unknown)
+
+
+def test_row_map_leaves_out_missing_values():
+    assert DYNAMIC.row_map(["x"]) == {"ColumnOne": "x"}
+    assert DYNAMIC.row_map() == dict(zip(DYNAMIC.names, DYNAMIC.values))
+    with pytest.raises(ValueError, match="4 values for 3 columns"):
+        DYNAMIC.row_map(["1", "2", "3", "4"])
+
+
+def test_edge_maps(spark):
+    rows = [
+        ({"ColumnOne": "a"},),
+        ({"ColumnOne": "b", "ColumnTwo": "x1", "ColumnThree": "y"},),
+        ({"ColumnTwo": "10.999", "ColumnThree": "10.999"},),
+        ({"ColumnTwo": " 7 ", "ColumnThree": " 7.5 "},),
+        (None,),
+    ]
+    typed = typed_projection(spark.createDataFrame(rows, MAP_ROW), DYNAMIC)
+    assert [tuple(r) for r in typed.collect()] == [
+        ("a", None, None),
+        ("b", None, None),
+        (None, None, 10.999),
+        (None, 7, 7.5),
+        (None, None, None),
+    ]
+
+
+def test_strict_mode_raises_on_malformed_values(spark):
+    rows = spark.createDataFrame([({"n": "x"},)], MAP_ROW)
+    schema = StepSchema(["n"], ["int"])
+    assert typed_projection(rows, schema).first()[0] is None
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        typed_projection(rows, schema, mode="strict").collect()
+    with pytest.raises(ValueError, match="mode"):
+        typed_projection(rows, schema, mode="lenient")
+
+
+def test_names_are_not_parsed_as_sql(spark):
+    schema = StepSchema(["a b", "it's", "x.y"], ["int", "string", "double"], ["1", "q'q", "2.5"])
+    df = typed_projection(spark.range(1).select(schema.map_column().alias("map")), schema)
+    assert df.columns == ["a b", "it's", "x.y"]
+    assert tuple(df.first()) == (1, "q'q", 2.5)
+
+
+def test_map_rows_round_trip(spark):
+    df = spark.createDataFrame([(1, None, 2.5), (2, "b", None)], "a BIGINT, b STRING, c DOUBLE")
+    schema = StepSchema(["a", "b", "c"], ["bigint", "string", "double"])
+    assert typed_projection(to_map_rows(df), schema).collect() == df.collect()
