@@ -1,0 +1,73 @@
+"""What the physical plans must look like to hold at a much larger scale."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stepstream.catalogue.batch import EVENT_ROW, double_twice
+from stepstream.functions import epoch_millis, to_map_rows, typed_projection
+from stepstream.operators import (
+    keyed_sum,
+    latest,
+    latest_by_key,
+    latest_n,
+    previous_value,
+    window_count,
+    word_count,
+)
+from stepstream.sources import read_table
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    return re.findall(r"Exchange (\w+)", plan(df))
+
+
+def test_a_step_chain_reads_only_what_it_needs_and_moves_no_rows(spark, folder):
+    df = read_table(spark, folder, "lineitem").transform(double_twice)
+    assert exchanges(df) == []
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan(df)
+
+
+def test_a_typed_column_needs_only_its_own_entry_of_the_map(events):
+    df = typed_projection(to_map_rows(events), EVENT_ROW).select("value")
+    assert "map(" not in plan(df)
+    assert "ReadSchema: struct<value:double>" in plan(df)
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda e: window_count(e, "ts", "1 hour"),
+        lambda e: keyed_sum(e, "user_id", "event_id"),
+        lambda e: word_count(e, "props"),
+        lambda e: latest_by_key(e, ["user_id"], "ts", ["event_id"]),
+    ],
+)
+def test_keyed_aggregates_combine_before_their_one_shuffle(events, build):
+    df = build(events)
+    assert exchanges(df) == ["hashpartitioning"]
+    assert "partial_" in plan(df)
+
+
+def test_the_latest_row_is_found_without_a_sort(events):
+    assert "Sort " not in plan(latest(events, "ts", ["event_id"]))
+    assert "partial_max_by" in plan(latest(events, "ts", ["event_id"]))
+    assert "TakeOrderedAndProject" in plan(latest_n(events, "ts", ["event_id"], 5))
+
+
+@pytest.mark.parametrize("keys", [["user_id"], []])
+def test_previous_value_shuffles_rows_once_and_never_to_one_task(events, keys):
+    df = previous_value(events, epoch_millis(events, "ts"), ["ts", "event_id"], keys)
+    assert exchanges(df) == ["hashpartitioning"]
+    assert "SinglePartition" not in plan(df) and "Python" not in plan(df)
+
+
+def test_a_time_filter_reaches_the_scan(events):
+    df = window_count(events.where("ts < timestamp_ntz'2024-01-09'"), "ts", "1 hour")
+    assert "LessThan(ts," in plan(df)
+    assert "ReadSchema: struct<ts:timestamp_ntz>" in plan(df.select(F.col("total")))

@@ -1,0 +1,174 @@
+import time
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from stepstream.functions import typed_projection
+from stepstream.schema import StepSchema
+from stepstream.sources import (
+    BatchQueue,
+    RowLanding,
+    generate_rows,
+    generate_rows_stream,
+    int_range,
+    literal_rows,
+    read_table,
+    table_stream,
+    text_stream,
+)
+from stepstream.streaming import FileSink, MemorySink, run_step
+from stepstream.streaming.handle import AVAILABLE_NOW
+from stepstream.workspace import new_dir
+
+DYNAMIC = StepSchema(
+    ["ColumnOne", "ColumnTwo", "ColumnThree"],
+    ["String", "Integer", "Double"],
+    ["This is a String", "100", "10.999"],
+)
+NUMBERS = T.StructType([T.StructField("n", T.LongType())])
+
+
+def test_generate_rows(spark):
+    df = generate_rows(spark, DYNAMIC, 3, id_column="row_id", partitions=2)
+    row = ("This is a String", 100, 10.999)
+    assert sorted(tuple(r) for r in df.collect()) == [(i, *row) for i in range(3)]
+    assert df.rdd.getNumPartitions() == 2
+    assert df.schema["ColumnTwo"].dataType == T.IntegerType()
+    assert generate_rows(spark, DYNAMIC, 0).count() == 0
+
+
+def test_generated_values_follow_the_mode(spark):
+    schema = StepSchema(["a", "b"], ["int", "string"], ["x", None])
+    assert tuple(generate_rows(spark, schema, 1).first()) == (None, None)
+    with pytest.raises(PySparkException):
+        generate_rows(spark, schema, 1, mode="strict").collect()
+
+
+def test_generate_rows_stream(spark):
+    stream = generate_rows_stream(spark, DYNAMIC, rows_per_batch=5, partitions=2)
+    sink = FileSink(new_dir(spark, "generated"), stream.schema)
+    handle = run_step(stream, "generated", sink)
+    deadline = time.time() + 60
+    while time.time() < deadline and not any(p.numInputRows for p in handle.query.recentProgress):
+        time.sleep(0.2)
+    handle.stop()
+    rows = handle.table().drop("timestamp").distinct().collect()
+    assert [tuple(r) for r in rows] == [("This is a String", 100, 10.999)]
+    assert handle.table().count() % 5 == 0
+
+
+def test_int_range_includes_both_ends(spark):
+    df = int_range(spark, 1, 1000, slices=10)
+    assert df.rdd.getNumPartitions() == 10
+    assert tuple(df.selectExpr("min(x)", "max(x)", "count(*)").first()) == (1, 1000, 1000)
+
+
+def test_literal_rows(spark):
+    assert tuple(literal_rows(spark, [("a", 1)], "k STRING, n INT").first()) == ("a", 1)
+
+
+def test_dynamic_rows_live(spark):
+    """One default row, then ten more, through a live step: all typed, in declared order."""
+    landing = RowLanding(spark, new_dir(spark, "landing"), DYNAMIC)
+    stream = typed_projection(landing.stream(), DYNAMIC)
+    handle = run_step(stream, "My_Step_ID", MemorySink("My_Step_ID"))
+    try:
+        landing.add_row()
+        handle.process_all()
+        assert [tuple(r) for r in handle.table().collect()] == [("This is a String", 100, 10.999)]
+        landing.add_rows(
+            [["This is a modified data set.", str(i), str(i + 0.9998)] for i in range(1, 11)]
+        )
+        landing.add_row(["short"])
+        handle.process_all()
+        rows = handle.table()
+        assert rows.columns == list(DYNAMIC.names)
+        assert rows.count() == 12
+        assert tuple(rows.where("ColumnOne = 'short'").first()) == ("short", None, None)
+        assert rows.where("ColumnThree > 10.99 AND ColumnTwo = 10").first().ColumnThree == 10.9998
+    finally:
+        handle.stop()
+    with pytest.raises(ValueError):
+        landing.add_row(["1", "2", "3", "4"])
+
+
+def test_landing_of_typed_records(spark):
+    landing = RowLanding(spark, new_dir(spark, "landing"), T.StructType.fromDDL("n BIGINT, s STRING"))
+    landing.add_row((1, "a"))
+    landing.add_rows(spark.createDataFrame([("b", 2)], "s STRING, n BIGINT"))
+    assert sorted(tuple(r) for r in landing.table().collect()) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError, match="no default row"):
+        landing.add_row()
+
+
+def test_batch_queue_makes_one_micro_batch_of_each(spark):
+    landing = RowLanding(spark, new_dir(spark, "landing"), NUMBERS)
+    queue = BatchQueue(landing)
+    sizes = [30, 1, 7]
+    for size in sizes:
+        queue.put(spark.range(size).toDF("n").repartition(3))
+    assert len(queue) == 3
+    stream = landing.stream()
+    sink, checkpoint = FileSink(new_dir(spark, "out"), NUMBERS), new_dir(spark, "checkpoint")
+
+    def run():
+        handle = run_step(stream, "queued", sink, trigger=AVAILABLE_NOW, checkpoint=checkpoint)
+        handle.wait()
+        return [p.numInputRows for p in handle.query.recentProgress if p.numInputRows]
+
+    assert queue.drain(run) == [[n] for n in sizes]
+    assert len(queue) == 0
+
+
+def test_batch_queue_does_not_land_a_batch_twice(spark):
+    landing = RowLanding(spark, new_dir(spark, "landing"), NUMBERS)
+    queue = BatchQueue(landing)
+    queue.put(spark.range(4).toDF("n"))
+
+    def fail():
+        raise RuntimeError("no run")
+
+    with pytest.raises(RuntimeError):
+        queue.drain(fail)
+    assert len(queue) == 1
+    assert queue.drain(lambda: "ran") == ["ran"]
+    assert landing.table().count() == 4
+
+
+def test_table_stream_reads_a_file_or_a_directory(spark, folder):
+    directory = new_dir(spark, "tables")
+    read_table(spark, folder, "nation").repartition(3).write.parquet(f"{directory}/nation.parquet")
+    for place, batches in ((folder, 1), (directory, 3)):
+        stream = table_stream(spark, place, "nation", files_per_batch=1)
+        sink = FileSink(new_dir(spark, "out"), stream.schema)
+        handle = run_step(stream, "tables", sink, trigger=AVAILABLE_NOW)
+        handle.wait()
+        assert handle.table().count() == 25
+        assert sum(1 for p in handle.query.recentProgress if p.numInputRows) == batches
+
+
+def test_text_stream(spark, tmp_path):
+    (tmp_path / "lines.txt").write_text("Foobar one\nfoobar two\n")
+    stream = text_stream(spark, "text", path=str(tmp_path))
+    assert stream.isStreaming and stream.schema == T.StructType.fromDDL("value STRING")
+    handle = run_step(stream, "lines", MemorySink("lines"), trigger=AVAILABLE_NOW)
+    handle.wait()
+    assert sorted(r.value for r in handle.table().collect()) == ["Foobar one", "foobar two"]
+
+
+def test_socket_stream_schema(spark):
+    stream = text_stream(spark, "socket", host="localhost", port=9999)  # does not connect
+    assert stream.isStreaming and stream.schema == T.StructType.fromDDL("value STRING")
+
+
+def test_text_stream_options_are_checked(spark):
+    with pytest.raises(ValueError, match="port"):
+        text_stream(spark, "socket", host="localhost")
+    with pytest.raises(ValueError, match="kind"):
+        text_stream(spark, "queue")
+
+
+def test_shared_folder_is_used(spark):
+    assert new_dir(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert new_dir(spark, "a") != new_dir(spark, "a")
