@@ -65,6 +65,7 @@ def in_batches(batches, step, make_sink, mode="append", landed_as="parquet", con
 def run_through(stepped, sink, mode="append", conf=None, checkpoint=None):
     """Run a step on all rows that are there, and return its handle once it has ended."""
     step_id = f"step-{uuid4().hex}"
+    conf = {**_local_settings(stepped.sparkSession), **(conf or {})}
     handle = run_step(stepped, step_id, sink, mode, AVAILABLE_NOW, checkpoint, conf)
     try:
         handle.wait()
@@ -250,6 +251,14 @@ def progress(spark, folder):
     return joined.where("num_input_rows > 0").select("batch_id", "num_input_rows")
 
 
+def _local_settings(spark):
+    """On one machine, more state partitions than cores only make more files. A cluster's setting stands."""
+    context, key = spark.sparkContext, "spark.sql.shuffle.partitions"
+    if not context.master.startswith("local"):
+        return {}
+    return {key: str(min(int(spark.conf.get(key)), context.defaultParallelism))}
+
+
 def live_and_snapshot(spark, folder):
     """Count a live table and a snapshot of it, both taken after the first of two batches, after the second."""
     events = read_table(spark, folder, "events").select("event_id", "ts")

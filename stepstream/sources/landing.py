@@ -52,12 +52,17 @@ class RowLanding:
             rows = [(self.step_schema.row_map(values),) for values in rows]
         return self.spark.createDataFrame(list(rows), self.schema).coalesce(1)
 
-    def stream(self, files_per_batch: int | None = None) -> DataFrame:
-        """Rows that have landed and those to come. ``files_per_batch`` bounds a micro-batch."""
+    def stream(self, files_per_batch: int | None = None, **options) -> DataFrame:
+        """Rows that have landed and those to come. ``files_per_batch`` bounds a micro-batch.
+
+        ``options`` are those of Spark's file source, e.g. ``maxBytesPerTrigger`` or
+        ``cleanSource`` to keep the directory small.
+        """
         nothing = self.spark.createDataFrame([], self.schema)
         # The source needs the directory to exist.
         nothing.write.mode("ignore").format(self.file_format).save(self.path)
         reader = self.spark.readStream.schema(self.schema).format(self.file_format)
+        reader = reader.options(**options)
         if files_per_batch is not None:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         return reader.load(self.path)

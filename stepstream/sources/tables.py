@@ -11,13 +11,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None, **options
 ) -> DataFrame:
     """The same table as a stream over its own files, without copying them.
 
     ``files_per_batch`` bounds a micro-batch; without it all new files make one.
+    ``options`` are those of Spark's file source.
     """
-    reader = spark.readStream.schema(read_table(spark, folder, name).schema)
+    reader = spark.readStream.schema(read_table(spark, folder, name).schema).options(**options)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # The bracket makes a glob of the path: the file source takes a lone file only through one.

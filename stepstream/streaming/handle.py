@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from stepstream.streaming.sinks import Sink
+from stepstream.streaming.sinks import MemorySink, Sink
 from stepstream.workspace import new_dir
 
 OUTPUT_MODES = ("append", "update", "complete")
@@ -63,6 +63,13 @@ class StepHandle:
         """The result so far, planned anew at each call, so it shows rows that came since the last one."""
         return self.sink.table(self.spark)
 
+    def view(self) -> DataFrame:
+        """Register the result so far as a view named after the step, for SQL text, and return it."""
+        now = self.table()
+        if not isinstance(self.sink, MemorySink):  # Spark has named that one already
+            now.createOrReplaceTempView(f"`{self.step_id}`")
+        return now
+
     def snapshot(self, path: str | None = None) -> DataFrame:
         """The result as it is now, written to a table of its own that later rows do not change."""
         path = path or new_dir(self.spark, "snapshot")

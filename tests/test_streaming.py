@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepstream.catalogue.streams import in_batches, run_through
-from stepstream.functions import epoch_millis, squared_pairs
+from stepstream.functions import epoch_millis, squared_pairs, with_arrival_time
 from stepstream.operators import (
+    argmax,
     keyed_sum,
     latest_by_key,
+    latest_n,
     preview,
     previous_value,
     total,
@@ -17,6 +19,7 @@ from stepstream.operators import (
     window_count,
     word_count,
 )
+from stepstream.plans import chain, step_exprs
 from stepstream.sources import RowLanding
 from stepstream.streaming import (
     BatchSink,
@@ -56,6 +59,7 @@ def upsert_windows(path, schema):
     return UpsertSink(path, schema, ["window"])
 
 
+ROUNDS = [(0, 3), (3, 8), (8, 16)]
 LATE = [[1, 2, 3], [4, 6, 16], [17], [2, 30]]
 
 
@@ -284,6 +288,45 @@ def test_live_table_and_snapshot(spark):
         handle.stop()
 
 
+def test_steps_over_a_live_table(spark):
+    """Typed rows get an arrival time; two steps and the latest row are read from the live table."""
+    record = T.StructType(
+        [T.StructField("ColumnOne", T.StringType()), T.StructField("ColumnTwo", T.IntegerType())]
+    )
+    steps = chain(
+        step_exprs("*", "ColumnTwo * 2 ColumnFour"), step_exprs("*", "ColumnFour * 2 ColumnFive")
+    )
+    landing = RowLanding(spark, new_dir(spark, "landing"), record)
+    stream = with_arrival_time(landing.stream())
+    handle = run_step(stream, "chained", FileSink(new_dir(spark, "out"), stream.schema))
+    try:
+        for n in (10, 30, 20):
+            landing.add_row(("ValueOne", n))
+            handle.process_all()
+            newest = latest_n(handle.table().transform(steps), "Now", ["ColumnTwo"], 1).first()
+            assert (newest.ColumnTwo, newest.ColumnFour, newest.ColumnFive) == (n, n * 2, n * 4)
+        greatest = argmax(handle.table().transform(steps), "ColumnFive", ["Now"]).first()
+        assert greatest.ColumnTwo == 30
+        handle.view()
+        assert spark.sql("SELECT sum(ColumnTwo) FROM chained").first()[0] == 60
+    finally:
+        handle.stop()
+
+
+def test_rounds_counted_by_arrival(spark):
+    rounds = [spark.range(lo, hi).selectExpr("cast(id as int) value") for lo, hi in ROUNDS]
+    sums = []
+    for n in (1, 2, 3):
+        runs = in_batches(
+            rounds[:n],
+            lambda df: window_count(with_arrival_time(df, "now"), "now", "5 seconds", "5 seconds"),
+            upsert_windows,
+            "update",
+        )
+        sums.append(total(runs[-1].table().select("window", "total"), "total").first()[0])
+    assert sums == [3, 8, 16]
+
+
 def test_handle(spark):
     landing = RowLanding(spark, new_dir(spark, "landing"), NUMBERS)
     landing.add_rows(spark.range(5).toDF("n"))
