@@ -1,8 +1,8 @@
 """Epoch values of timestamp columns that do not depend on the session time zone.
 
-A TIMESTAMP_NTZ column is read as UTC wall-clock time. Casting it to TIMESTAMP
-would shift it by the session zone, so its distance from the epoch is taken as
-an interval instead, which stays in code generation and floors before 1970.
+A TIMESTAMP_NTZ column is read as UTC wall-clock time. A cast to TIMESTAMP does
+that only in a UTC session, where it is the fastest way; in other zones it would
+shift the time, so its distance from the epoch is taken as an interval instead.
 """
 
 from __future__ import annotations
@@ -12,46 +12,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
+_UTC = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
 
 def is_wall_clock(df: DataFrame, ts: str) -> bool:
     return isinstance(df.schema[ts].dataType, T.TimestampNTZType)
 
 
-def _seconds(df: DataFrame, ts: str) -> Column:
-    """Seconds since the epoch with six decimals."""
-    if is_wall_clock(df, ts):
-        since = F.col(ts) - F.expr(_EPOCH_NTZ)
-        return since.cast("interval second").cast("decimal(18,6)")
-    return F.unix_micros(ts).cast("decimal(18,0)") / F.lit(1_000_000)
+def instant(df: DataFrame, ts: str) -> Column:
+    """TIMESTAMP, which watermarks and epoch functions need."""
+    if not is_wall_clock(df, ts):
+        return F.col(ts)
+    if df.sparkSession.conf.get("spark.sql.session.timeZone") in _UTC:
+        return F.col(ts).cast("timestamp")
+    since = F.col(ts) - F.expr(_EPOCH_NTZ)
+    return F.timestamp_seconds(since.cast("interval second").cast("decimal(18,6)"))
+
+
+def wall_clock(column: Column) -> Column:
+    """TIMESTAMP to its UTC wall-clock time, the inverse of :func:`instant`."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.expr(_EPOCH_NTZ))
 
 
 def epoch_micros(df: DataFrame, ts: str) -> Column:
-    if is_wall_clock(df, ts):
-        return (_seconds(df, ts) * 1_000_000).cast("bigint")
-    return F.unix_micros(ts)
+    return F.unix_micros(instant(df, ts))
 
 
 def epoch_millis(df: DataFrame, ts: str) -> Column:
-    if is_wall_clock(df, ts):
-        return F.floor(_seconds(df, ts) * 1000).cast("bigint")
-    return F.unix_millis(ts)
+    """Whole milliseconds, rounded down."""
+    return F.unix_millis(instant(df, ts))
 
 
 def epoch_seconds(df: DataFrame, ts: str) -> Column:
     """Whole seconds as INT, rounded down; an instant after 2038 overflows INT and raises."""
-    if is_wall_clock(df, ts):
-        return F.floor(_seconds(df, ts)).cast("int")
-    return F.unix_seconds(ts).cast("int")
-
-
-def instant(df: DataFrame, ts: str) -> Column:
-    """TIMESTAMP for watermarks, which do not take TIMESTAMP_NTZ."""
-    if is_wall_clock(df, ts):
-        return F.timestamp_seconds(_seconds(df, ts))
-    return F.col(ts)
-
-
-def wall_clock(column: Column) -> Column:
-    """TIMESTAMP to its UTC wall-clock time, the inverse of :func:`instant`."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.expr(_EPOCH_NTZ))
+    return F.unix_seconds(instant(df, ts)).cast("int")

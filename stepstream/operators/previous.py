@@ -46,7 +46,7 @@ def previous_value(
         raise TypeError("take the epoch value of a timestamp, e.g. epoch_millis(df, ts)")
 
     cuts = _cuts(pointed.select(F.struct(_POINT, _VALUE).alias("cut")), slices)
-    sliced = pointed.withColumn(_CUTS, cuts).withColumn(_SLICE, _cuts_before(slices))
+    sliced = _number_slices(pointed.withColumn(_CUTS, cuts), slices)
     in_slice = Window.partitionBy(*keys, _SLICE).orderBy(*order_by)
     carried = F.get(F.col(_CUTS), F.col(_SLICE) - 1)
     same_key = F.lit(True)
@@ -73,17 +73,18 @@ def _cuts(candidates: DataFrame, slices: int) -> Column:
     return F.from_json(F.lit(found), kind)
 
 
-def _cuts_before(slices: int) -> Column:
-    """How many cuts lie before the row, by binary search."""
+def _number_slices(df: DataFrame, slices: int) -> DataFrame:
+    """Add how many cuts lie before the row, by a binary search with a projection for each halving.
+
+    They stay in code generation, which a higher-order function over the cuts would leave.
+    """
+    df = df.withColumn(_SLICE, F.lit(0))
     # Twice the slices leaves room for a sample that came out larger than expected.
-    steps = [1 << i for i in reversed(range((2 * slices).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(
-            F.get(F.col(_CUTS), found + step - 1)[_POINT] < F.col(_POINT), found + step
-        ).otherwise(found),
-    )
+    for i in reversed(range((2 * slices).bit_length())):
+        tried = F.col(_SLICE) + (1 << i)
+        passed = F.get(F.col(_CUTS), tried - 1)[_POINT] < F.col(_POINT)
+        df = df.withColumn(_SLICE, F.when(passed, tried).otherwise(F.col(_SLICE)))
+    return df
 
 
 def _sortable(df: DataFrame, column: str) -> Column:
