@@ -142,7 +142,7 @@ def _parts(df, column):
     found = df.select(column).distinct().limit(1001).collect()
     if len(found) > 1000:
         raise ValueError(f"{column} has too many values to make a batch of each")
-    values = sorted((row[0] for row in found), key=lambda v: (v is not None, v))
+    values = sorted((row[0] for row in found), key=lambda v: (v is not None, v)) or [None]
     return [df.where(F.col(column).eqNullSafe(F.lit(v))) for v in values]
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from stepstream.functions.time import epoch_micros
 
 _POINT, _SLICE, _VALUE, _CUTS, _BEFORE = "_point", "_slice", "_value", "_cuts", "_before"
-_LOOKED_AT = 20  # rows looked at for each cut, which evens out the sizes of the slices
+_LOOKED_AT = 10  # rows looked at for each cut, which evens out the sizes of the slices
+_PER_PARTITION = 4  # slices for each shuffle partition, which evens out the partitions
 _INSTANTS = (T.TimestampType, T.TimestampNTZType)
 
 
@@ -38,7 +39,8 @@ def previous_value(
     """
     if not order_by:
         raise ValueError("order_by must name at least one column")
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or partitions * _PER_PARTITION
     fields = [*keys, *order_by]
     point = F.struct(*[_sortable(df, c).alias(f"c{i}") for i, c in enumerate(fields)])
     pointed = df.withColumns({_POINT: point, _VALUE: value})
