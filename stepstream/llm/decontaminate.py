@@ -17,6 +17,8 @@ counted size and shuffled beyond it; documents never are.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,9 @@ SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS = 16, 8
 DISTANCE = 2 * BLOCKS - 1
 BROADCAST_ROWS = 500_000  # rows of up to 40 bytes
+_FP = ("fp_1", "fp_2")  # the halves of a fingerprint
 _LANES = 0x0000000100000001  # two counters of 32 bits
+_LANE_TOPS = -0x7FFFFFFF80000000  # their highest bits
 
 
 def _hashed(rows: DataFrame, *keep: str, text: str) -> DataFrame:
@@ -47,7 +51,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _fingerprints(windows: DataFrame, *keys: str) -> DataFrame:
-    """``keys``, ``width`` and the fingerprint ``fp`` (16 blocks) of ``windows (keys, window)``.
+    """``keys``, ``width`` and the halves of the fingerprint of ``windows (keys, window)``.
 
     Each bit is set in over half of the shingle hashes. The counts of two bits share one sum.
     """
@@ -59,29 +63,39 @@ def _fingerprints(windows: DataFrame, *keys: str) -> DataFrame:
         for i in range(32)
     ]
     counted = exploded.groupBy(*keys).agg(F.count("*").alias("width"), *sums)
-    blocks = []
+    # Lifts a count above half of the width, and no other, to the highest bit of its lane.
+    lift = (F.lit(0x7FFFFFFF) - F.expr("width div 2")) * F.lit(_LANES)
+    counted = counted.withColumn("lift", lift)
+    fp = []
     for half in ("h", "h2"):
-        for low in range(0, 64, BLOCK_BITS):
-            block = F.lit(0)
-            for j in range(BLOCK_BITS):
-                lane = F.shiftrightunsigned(f"{half}_{(low + j) % 32}", 32 * ((low + j) // 32))
-                is_set = lane.bitwiseAND(0xFFFFFFFF) * 2 > F.col("width")
-                block = block + is_set.cast("int") * (1 << j)
-            blocks.append(block)
-    return counted.select(*keys, "width", F.array(*blocks).alias("fp"))
+        lifted = ((F.col(f"{half}_{i}") + F.col("lift")).bitwiseAND(_LANE_TOPS) for i in range(32))
+        fp.append(reduce(Column.bitwiseOR, (F.shiftrightunsigned(top, 31 - i) for i, top in enumerate(lifted))))
+    return counted.select(*keys, "width", *[half.alias(name) for name, half in zip(_FP, fp)])
+
+
+def _blocks() -> Column:
+    half = 64 // BLOCK_BITS
+    return F.array(
+        *[
+            F.shiftrightunsigned(_FP[i // half], i % half * BLOCK_BITS).bitwiseAND((1 << BLOCK_BITS) - 1).cast("int")
+            for i in range(BLOCKS)
+        ]
+    )
 
 
-def _distance(a: str, b: str) -> Column:
-    differing = (F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(BLOCKS))
-    return sum(differing, F.lit(0))
+def _distance() -> Column:
+    first, second = (F.bit_count(F.col(name).bitwiseXOR(F.col(f"item_{name}"))) for name in _FP)
+    return first + second
 
 
 def _index(items: DataFrame) -> DataFrame:
     """Each block of the items' fingerprints, as it is and with each of its bits changed."""
     changes = F.array(F.lit(0), *[F.lit(1 << j) for j in range(BLOCK_BITS)])
-    blocks = items.select("_item", "size", F.col("fp").alias("item_fp"), F.posexplode("fp").alias("block", "value"))
+    own = [F.col(name).alias(f"item_{name}") for name in _FP]
+    blocks = items.select("_item", "size", *own, F.posexplode(_blocks()).alias("block", "value"))
     changed = blocks.withColumn("change", F.explode(changes))
-    return changed.select("_item", "size", "item_fp", "block", F.col("value").bitwiseXOR("change").alias("value"))
+    value = F.col("value").bitwiseXOR(F.col("change")).alias("value")
+    return changed.select("_item", "size", *[f"item_{name}" for name in _FP], "block", value)
 
 
 def find_passages(
@@ -106,21 +120,21 @@ def find_passages(
     item = F.struct(F.col(item_id).alias("id"), F.xxhash64(item_text).alias("text_hash"))
     texts = docs.select(doc.alias("_doc"), F.col(text).alias("_text"))
     sought = benchmark.select(item.alias("_item"), F.col(item_text).alias("_text")).dropDuplicates(["_item"])
-    sought = _hashed(sought, "_item", text="_text").withColumn("size", F.size("hashes"))
-    sought = settled(sought.where("size > 0"))
+    sought = settled(_hashed(sought, "_item", text="_text").withColumn("size", F.size("hashes"))).where("size > 0")
     counts = settled(sought.select("_item", "size", F.explode("hashes").alias("h")).groupBy("_item", "size", "h").count())
     sizes = settled(counts.select("h", "size").distinct())
 
     at = _hashed(texts, "_doc", text="_text")
-    at = at.select("_doc", F.size("hashes").alias("length"), F.posexplode("hashes").alias("pos", "h"))
+    # An outer explode, since for an inner one Spark would hash the array once more to drop empty ones early.
+    at = at.select("_doc", F.size("hashes").alias("length"), F.posexplode_outer("hashes").alias("pos", "h"))
     anchors = settled(at.join(_small(sizes), "h").select("_doc", "length", "pos", "size").distinct())
     windows = settled(_windows(anchors, texts))
     fps = _fingerprints(windows.select("_doc", "size", "start", "window"), "_doc", "size", "start")
     item_fps = _fingerprints(sought.select("_item", "size", F.col("hashes").alias("window")), "_item", "size")
     index = _small(settled(_index(item_fps)))
-    probes = fps.select("_doc", "size", "start", "width", "fp", F.posexplode("fp").alias("block", "value"))
+    probes = fps.select("_doc", "size", "start", "width", *_FP, F.posexplode(_blocks()).alias("block", "value"))
     met = (probes["size"] == index["size"]) & (probes["block"] == index["block"]) & (probes["value"] == index["value"])
-    near = probes.join(index, met & (_distance("fp", "item_fp") <= DISTANCE))
+    near = probes.join(index, met & (_distance() <= DISTANCE))
     near = settled(near.select("_doc", probes["size"], "start", "width", "_item").distinct())
     return _verified(near, windows, counts, similarity)
 
@@ -139,8 +153,9 @@ def _windows(anchors: DataFrame, texts: DataFrame) -> DataFrame:
     spans = starts.groupBy("_doc").agg(F.collect_list(F.struct("size", "first", "last", "width")).alias("spans"))
     found = texts.join(spans.hint("shuffle_hash"), "_doc")
     found = _hashed(found, "_doc", "spans", text="_text").dropDuplicates(["_doc"])
-    cut = found.select("_doc", "hashes", F.explode("spans").alias("s"))
-    cut = cut.select("_doc", "s.size", "s.width", "hashes", F.explode(F.sequence("s.first", "s.last")).alias("start"))
+    cut = found.select("_doc", "hashes", F.explode_outer("spans").alias("s"))
+    starts = F.explode_outer(F.sequence("s.first", "s.last")).alias("start")
+    cut = cut.select("_doc", "s.size", "s.width", "hashes", starts)
     return cut.select("_doc", "size", "start", F.slice("hashes", F.col("start") + 1, F.col("width")).alias("window"))
 
 

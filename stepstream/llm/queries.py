@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stepstream.llm.decontaminate import find_passages
+from stepstream.llm.line_dedup import drop_repeated_lines
 from stepstream.llm.mixing import mix
+from stepstream.llm.quality_model import score_quality
 from stepstream.llm.quality_rules import judge
+from stepstream.llm.secret_scan import BASE, scan_secrets, spans_as_text
 from stepstream.llm.simhash_dedup import hex_fingerprint, near_duplicates
 from stepstream.llm.token_count import count_tokens
 from stepstream.llm.token_files import token_table
+from stepstream.llm.url_filter import filter_urls
 from stepstream.sources import read_table
 
 
@@ -20,12 +24,20 @@ def decontamination(spark, folder):
     )
 
 
+def url_filter(spark, folder):
+    return filter_urls(read_table(spark, folder, "pages"), read_table(spark, folder, "labels"), "page_id")
+
+
 def source_mix(spark, folder):
     mixed = mix(read_table(spark, folder, "documents").select("doc_id", "text", "source"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def quality_model(spark, folder):
+    return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), "doc_id")
+
+
 def token_output(spark, folder):
     return token_table(read_table(spark, folder, "documents"))
 
@@ -39,16 +51,38 @@ def quality_rules(spark, folder):
     return judge(read_table(spark, folder, "documents"), "doc_id")
 
 
+def secret_scan(spark, folder):
+    found = scan_secrets(read_table(spark, folder, "documents"), "doc_id")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(BASE)],
+        F.sha2(spans_as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        spans_as_text(F.col("spans")).alias("spans"),
+    )
+
+
+def line_dedup(spark, folder):
+    return drop_repeated_lines(read_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def token_counts(spark, folder):
     return count_tokens(read_table(spark, folder, "documents"), "doc_id")
 
 
 QUERIES = {
     "op1_decontamination": decontamination,
+    "op2_url_filter": url_filter,
     "op3_source_mix": source_mix,
+    "op4_quality_model": quality_model,
     "op5_token_output": token_output,
     "op6_simhash_near_dedup": simhash_near_dedup,
     "op7_quality_rules": quality_rules,
+    "op8_secret_scan": secret_scan,
+    "op9_line_dedup": line_dedup,
     "op10_token_counts": token_counts,
 }
 
