@@ -101,8 +101,11 @@ def link_fingerprints(prints: DataFrame) -> DataFrame:
     )
     large = F.col("members") > _PAIRED_BY_STAR
     met = settled(met.where(large | F.col("centre").isNotNull() | F.col("neighbour").isNotNull()))
-    starred = met.select(F.col("fp").alias("a"), F.explode(F.array("centre", "neighbour")).alias("b"))
-    starred = settled(starred.where("b is not null").distinct())
+    centres, neighbours = (
+        met.where(F.col(name).isNotNull()).select(F.col("fp").alias("a"), F.col(name).alias("b")).distinct()
+        for name in ("centre", "neighbour")
+    )
+    starred = settled(centres.unionByName(neighbours))
     found = settled(connected_components(starred))
     # What star and neighbour links left apart in the larger buckets.
     rest = met.where(large).select("key", "fp").join(found.withColumnRenamed("node", "fp"), "fp", "left")
@@ -144,5 +147,5 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     groups = near_duplicates(docs.select(id, text, itself.alias("_itself")), "_itself", id=id, text=text)
     first = F.min(F.struct(F.col(id).isNull(), F.col("_itself"))).alias("first")
     kept = groups.groupBy("component").agg(first).select("first._itself")
-    own = docs.withColumn("_itself", itself)  # structs compare with NULL equal to NULL
-    return own.join(kept, "_itself", "left_semi").dropDuplicates(["_itself"]).drop("_itself")
+    own = docs.select(F.struct("*").alias("_row"), itself.alias("_itself"))  # structs compare with NULL equal to NULL
+    return own.join(kept, "_itself", "left_semi").dropDuplicates(["_itself"]).select("_row.*")
