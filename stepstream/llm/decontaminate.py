@@ -32,7 +32,7 @@ DISTANCE = 2 * BLOCKS - 1
 BROADCAST_ROWS = 500_000  # rows of up to 40 bytes
 _FP = ("fp_1", "fp_2")  # the halves of a fingerprint
 _LANES = 0x0000000100000001  # two counters of 32 bits
-_LANE_TOPS = -0x7FFFFFFF80000000  # their highest bits
+_LANE_TOP = 30  # the highest bit that a counter may reach
 
 
 def _hashed(rows: DataFrame, *keep: str, text: str) -> DataFrame:
@@ -63,13 +63,14 @@ def _fingerprints(windows: DataFrame, *keys: str) -> DataFrame:
         for i in range(32)
     ]
     counted = exploded.groupBy(*keys).agg(F.count("*").alias("width"), *sums)
-    # Lifts a count above half of the width, and no other, to the highest bit of its lane.
-    lift = (F.lit(0x7FFFFFFF) - F.expr("width div 2")) * F.lit(_LANES)
+    # Lifts a count above half of the width, and no other, to the top bit of its lane.
+    lift = (F.lit((1 << _LANE_TOP) - 1) - F.expr("width div 2")) * F.lit(_LANES)
     counted = counted.withColumn("lift", lift)
     fp = []
     for half in ("h", "h2"):
-        lifted = ((F.col(f"{half}_{i}") + F.col("lift")).bitwiseAND(_LANE_TOPS) for i in range(32))
-        fp.append(reduce(Column.bitwiseOR, (F.shiftrightunsigned(top, 31 - i) for i, top in enumerate(lifted))))
+        lifted = [(F.col(f"{half}_{i}") + F.col("lift")).bitwiseAND(_LANES << _LANE_TOP) for i in range(32)]
+        *most, last = [F.shiftrightunsigned(top, max(0, _LANE_TOP - i)) for i, top in enumerate(lifted)]
+        fp.append(reduce(Column.bitwiseOR, most, F.shiftleft(last, 1)))
     return counted.select(*keys, "width", *[half.alias(name) for name, half in zip(_FP, fp)])
 
 
@@ -182,5 +183,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
     """``docs`` without the rows in which :func:`find_passages` finds an item."""
     id, text = options.get("id", "doc_id"), options.get("text", "text")
     found = find_passages(docs, benchmark, **options).select(F.col("doc").alias("_doc")).distinct()
-    own = docs.withColumn("_doc", F.struct(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash")))
-    return own.join(found.hint("shuffle_hash"), "_doc", "left_anti").drop("_doc")
+    doc = F.struct(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"))
+    own = docs.select(F.struct("*").alias("_row"), doc.alias("_doc"))
+    return own.join(found.hint("shuffle_hash"), "_doc", "left_anti").select("_row.*")

@@ -21,7 +21,11 @@ LINES = 3
 def _windows(docs: DataFrame) -> DataFrame:
     """``_doc, at, h1, h2`` for each window; ``at`` is its first line. Shorter texts have none."""
     lines = docs.select("_doc", F.split("_text", "\n").alias("lines"))
-    coded = lines.select("_doc", F.transform("lines", lambda line: F.xxhash64(line)).alias("a"), F.transform("lines", lambda line: F.hash(line)).alias("b"))
+    coded = lines.select(
+        "_doc",
+        F.transform("lines", lambda line: F.xxhash64(line)).alias("a"),
+        F.transform("lines", lambda line: F.hash(line)).alias("b"),
+    )
     last = F.size("a") - LINES
 
     def window(i):
@@ -50,7 +54,7 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 
 
 def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, the text without repeated passages, with ``n_lines`` and ``n_removed``.
+    """Every row of ``docs`` as the struct ``row``, its text without repeated passages, with ``n_lines`` and ``n_removed``.
 
     Lines are what stands between line feeds, compared exactly; empty lines count. Of
     windows in several documents the one in the smallest id stays, NULL last; among
@@ -59,12 +63,14 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text")
     empty line. A text of which all lines go becomes empty.
     """
     found = settled(repeated_lines(docs, id, text))
-    own = docs.withColumn("_doc", F.struct(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash")))
+    doc = F.struct(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"))
+    own = docs.select(F.struct("*").alias("_row"), doc.alias("_doc"), F.split(text, "\n").alias("_lines"))
     own = own.join(found.hint("shuffle_hash"), "_doc", "left")
-    lines = F.split(text, "\n")
-    kept = F.filter(lines, lambda _, i: ~F.coalesce(F.array_contains("repeated", i), F.lit(False)))
-    rest = F.when(F.col("repeated").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    columns = [rest.alias(c) if c == text else F.col(c) for c in docs.columns]
-    count = F.coalesce(F.regexp_count(text, F.lit("\n")) + 1, F.lit(0)).cast("bigint")
-    removed = F.coalesce(F.size("repeated"), F.lit(0)).cast("bigint")
-    return own.select(*columns, count.alias("n_lines"), F.greatest(removed, F.lit(0)).alias("n_removed"))
+    kept = F.filter("_lines", lambda _, i: ~F.array_contains("repeated", i))
+    rest = F.when(F.col("repeated").isNull(), F.col("_row")[text]).otherwise(F.array_join(kept, "\n"))
+    removed = F.when(F.col("repeated").isNull(), 0).otherwise(F.size("repeated")).cast("bigint")
+    return own.select(
+        F.col("_row").withField(text, rest).alias("row"),
+        F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("bigint").alias("n_lines"),
+        removed.alias("n_removed"),
+    )

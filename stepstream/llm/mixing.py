@@ -111,26 +111,27 @@ def _knapsack(sizes, spare, budget) -> dict[int, int]:
 
 
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """All rows and columns of ``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0, 1 or 2).
+    """Every row of ``docs`` as the struct ``row``, with ``size``, ``source_size``, ``target`` and ``copies`` (0, 1 or 2).
 
     ``size`` is the number of words of the text, 0 for NULL. NULL is a source of its own.
     Rows are drawn by a hash of their id, NULL ids too; rows of the same id, source and size
     are drawn in any order, and if they are repeated rows that makes no difference. A source
-    without words has target 0. The names ``_source``, ``_size`` and ``_bucket`` are used within.
+    without words has target 0. An empty table gives no rows. In the struct, no other column of
+    ``docs`` can clash with a name used here.
     """
     drawn_by = F.xxhash64(F.col(id), F.lit(SEED))
-    rows = docs.withColumns(
-        {
-            "_source": F.struct(F.col(source)),  # structs compare with NULL equal to NULL
-            "_size": word_count(F.col(text)),
-            "_bucket": F.pmod(drawn_by, F.lit(BUCKETS)).cast("int"),
-        }
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id).alias("_id"),
+        F.struct(F.col(source).alias("source")).alias("_source"),  # structs compare with NULL equal to NULL
+        word_count(F.col(text)).alias("_size"),
+        F.pmod(drawn_by, F.lit(BUCKETS)).cast("int").alias("_bucket"),
     )
     counts = settled(rows.groupBy(*_MIX).count())
     lengths = counts.groupBy("_source", "_size").agg(F.sum("count").alias("n"))
     sizes = lengths.groupBy("_source").agg(F.sum(F.col("_size") * F.col("n")).alias("source_size"))
-    sizes = sizes.select(F.col(f"_source.{source}").alias("source"), "source_size")
-    targets = settled(source_targets(sizes, **options).withColumn("_source", F.struct(F.col("source").alias(source))))
+    sizes = sizes.select("_source.source", "source_size")
+    targets = settled(source_targets(sizes, **options).withColumn("_source", F.struct("source")))
     fitted = settled(
         lengths.join(targets, "_source")
         .groupBy("_source")
@@ -145,15 +146,9 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         *_MIX, "source_size", "target", "whole", quota.alias("quota"), F.col("count").alias("members")
     )
     placed = rows.join(quotas, list(_MIX))
-    rank = F.row_number().over(Window.partitionBy(*_MIX).orderBy(F.xxhash64(F.col(id), F.lit(SEED + 1)), id))
+    rank = F.row_number().over(Window.partitionBy(*_MIX).orderBy(F.xxhash64("_id", F.lit(SEED + 1)), "_id"))
     copies = F.col("whole") + (rank <= F.col("quota")).cast("int")
-    return placed.select(
-        *[F.col(c) for c in docs.columns],
-        F.col("_size").alias("size"),
-        "source_size",
-        "target",
-        copies.alias("copies"),
-    )
+    return placed.select("row", F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"))
 
 
 def _fit_schema(counts):
@@ -171,5 +166,4 @@ def _fit(lengths: pd.DataFrame) -> pd.DataFrame:
 def take_mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it has copies."""
     mixed = mix(docs, **options).where("copies > 0")
-    again = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return again.select(*[F.col(c) for c in docs.columns])
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -69,13 +69,15 @@ def _repeated(ids: np.ndarray, kinds: int) -> int:
 
 
 def _stats(text: Column) -> Column:
+    """Of a binary column."""
+
     @F.pandas_udf(_STATS)
     def stats(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = [part.split()[0] for part in _STATS.split(",")]
         for batch in texts:
             yield pd.DataFrame([text_stats(t) for t in batch], columns=names)
 
-    return stats(text.cast("binary"))
+    return stats(text)
 
 
 class Rule(NamedTuple):
@@ -137,9 +139,13 @@ def judge(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     fails. Repeated rows are judged alike and each counts as a document. An empty table
     gives no rows. Other columns than ``text`` and ``keep`` are not looked at.
     """
-    spark = docs.sparkSession
-    named = docs.select(F.struct(*keep).alias("_keep"), _stats(F.col(text)).alias("_stats"))
-    stats = named.select("_keep", "_stats.*")
+    judged = _judged(docs.select(F.struct(*keep).alias("_row"), F.col(text).cast("binary").alias("_text")))
+    return judged.select("_row.*", *[c for c in judged.columns if c != "_row"])
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    spark = rows.sparkSession
+    stats = rows.select("_row", _stats(F.col("_text")).alias("_stats")).select("_row", "_stats.*")
     code = F.lit(0)
     for rule in RULES:
         code = code * 3 + rule.vote()
@@ -149,19 +155,18 @@ def judge(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     powers = 3 ** np.arange(len(RULES) - 1, -1, -1)
     votes = (codes[:, None] // powers) % 3
     quality = fit_votes(votes, np.array([r[1] for r in seen], dtype=float)) if seen else []
-    model = spark.createDataFrame(
-        [(int(c), float(q)) for c, q in zip(codes, quality)], "_code int, quality double"
-    )
+    model = [(int(c), float(q)) for c, q in zip(codes, quality)]
+    model = F.broadcast(spark.createDataFrame(model, "_code int, quality double"))  # bounded as above
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = stats.join(F.broadcast(model), "_code").withColumn("base_failed", failed)  # bounded as above
-    kept = ~F.col("base_failed") & (F.col("quality") >= KEPT_FROM)
-    return judged.select("_keep.*", *stats.columns[1:-1], "base_failed", "quality", kept.alias("kept"))
+    judged = stats.join(model, "_code").drop("_code").withColumn("base_failed", failed)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEPT_FROM))
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, as they are.
 
-    The whole row passes through the statistics, so repeated rows and NULL ids need no key.
+    Whole rows pass through the statistics, so repeated rows, NULL ids and columns
+    of any name need no key.
     """
-    columns = docs.columns
-    return judge(docs, *columns, text=text).where("kept").select(*[F.col(c) for c in columns])
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text).cast("binary").alias("_text"))
+    return _judged(rows).where("kept").select("_row.*")

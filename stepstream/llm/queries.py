@@ -31,7 +31,7 @@ def url_filter(spark, folder):
 def source_mix(spark, folder):
     mixed = mix(read_table(spark, folder, "documents").select("doc_id", "text", "source"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return mixed.select("doc_id", "size", "source_size", "target", taken)
+    return mixed.select("row.doc_id", "size", "source_size", "target", taken)
 
 
 def quality_model(spark, folder):
@@ -66,7 +66,8 @@ def secret_scan(spark, folder):
 
 
 def line_dedup(spark, folder):
-    return drop_repeated_lines(read_table(spark, folder, "documents").select("doc_id", "text"))
+    left = drop_repeated_lines(read_table(spark, folder, "documents"))
+    return left.select("row.doc_id", "row.text", "n_lines", "n_removed")
 
 
 def token_counts(spark, folder):
@@ -86,4 +87,59 @@ QUERIES = {
     "op10_token_counts": token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+_RUN = r"[^\x20\x09-\x0D]+"
+
+# Each window of three lines by its text: where it occurs first, and the lines under later ones.
+_LINES = r"""
+WITH lines AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+windows AS (
+  SELECT doc_id, pos, l[pos] || chr(10) || l[pos + 1] || chr(10) || l[pos + 2] AS passage
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS pos FROM lines)),
+placed AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY passage ORDER BY doc_id, pos) AS occurrence FROM windows),
+covered AS (
+  SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM placed WHERE occurrence > 1),
+removed AS (
+  SELECT doc_id, list(pos) AS gone FROM covered GROUP BY doc_id)
+SELECT doc_id,
+  CASE WHEN gone IS NULL THEN text ELSE array_to_string(
+    [l[i] FOR i IN range(1, len(l) + 1) IF NOT list_contains(gone, i)], chr(10)) END AS text,
+  coalesce(len(l), 0)::BIGINT AS n_lines,
+  coalesce(len(gone), 0)::BIGINT AS n_removed
+FROM lines LEFT JOIN removed USING (doc_id)"""
+
+# Every window that shares a shingle with an item of its size, compared with that item in full.
+_PASSAGES = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '{_RUN}') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(lower(text), '{_RUN}') AS w FROM benchmark),
+shingles AS (
+  SELECT doc_id, len(w) - 4 AS n, unnest(range(0, len(w) - 4)) AS pos,
+    unnest([array_to_string(w[i + 1:i + 5], ' ') FOR i IN range(0, len(w) - 4)]) AS s
+  FROM words WHERE len(w) >= 5),
+item_shingles AS (
+  SELECT item_id, len(w) - 4 AS size,
+    unnest([array_to_string(w[i + 1:i + 5], ' ') FOR i IN range(0, len(w) - 4)]) AS s
+  FROM item_words WHERE len(w) >= 5),
+counts AS (
+  SELECT item_id, size, s, count(*) AS c FROM item_shingles GROUP BY ALL),
+starts AS (
+  SELECT DISTINCT doc_id, item_id, size, least(size, n) AS width,
+    unnest(range(greatest(0, pos - least(size, n) + 1), least(pos, n - least(size, n)) + 1)) AS start
+  FROM shingles JOIN counts USING (s)),
+shared AS (
+  SELECT doc_id, item_id, size, width, start, s, count(*) AS c
+  FROM starts JOIN shingles USING (doc_id)
+  WHERE pos BETWEEN start AND start + width - 1 GROUP BY ALL),
+alike AS (
+  SELECT doc_id, item_id, start, width, sum(least(shared.c, counts.c)) AS both, size
+  FROM shared JOIN counts USING (item_id, size, s) GROUP BY doc_id, item_id, size, start, width),
+scored AS (
+  SELECT doc_id, item_id, both / (size + width - both) AS similarity, start, width FROM alike)
+SELECT doc_id, item_id, similarity, start::INTEGER AS start, width::BIGINT AS width FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, width) AS k
+  FROM scored WHERE similarity >= 0.8) WHERE k = 1"""
+
+ORACLES = {"op1_decontamination": _PASSAGES, "op9_line_dedup": _LINES}
