@@ -21,6 +21,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5  # of all words
 MOST_COPIES = 2
 SEED = 42
+KNAPSACK_WORDS = 1 << 16
 BUCKETS = 256  # parts of the documents of one source and length that are drawn from one by one
 _MIX = ("_source", "_size", "_bucket")
 
@@ -55,8 +56,8 @@ def fit_lengths(sizes: np.ndarray, counts: np.ndarray, target: float) -> tuple[i
     """Whole copies of all, and how many of each size to take once more, for a total next to ``target``.
 
     ``sizes`` are distinct and ``counts`` say how many there are of each. The shares rounded
-    down leave less than one document of each size; large sizes then fill in until what
-    is left is about as long as the longest document, which the knapsack decides.
+    down leave less than one document of each size. If that is much, large sizes fill in first;
+    the last ``KNAPSACK_WORDS``, or the length of the longest document, are left to the knapsack.
     """
     sizes, counts = np.asarray(sizes, dtype=np.int64), np.asarray(counts, dtype=np.int64)
     extra = np.zeros(len(sizes), dtype=np.int64)
@@ -69,7 +70,7 @@ def fit_lengths(sizes: np.ndarray, counts: np.ndarray, target: float) -> tuple[i
     extra = np.minimum(extra, counts)
     left = wanted - int((extra * sizes).sum())
     for i in np.argsort(-sizes, kind="stable"):
-        spare = left - int(sizes.max())  # what the knapsack is to keep
+        spare = left - max(KNAPSACK_WORDS, int(sizes.max()))  # the rest is for the knapsack
         if spare < sizes[i] or not sizes[i]:
             continue
         more = min(int(counts[i] - extra[i]), spare // int(sizes[i]))

@@ -134,10 +134,10 @@ shared AS (
   FROM starts JOIN shingles USING (doc_id)
   WHERE pos BETWEEN start AND start + width - 1 GROUP BY ALL),
 alike AS (
-  SELECT doc_id, item_id, start, width, sum(least(shared.c, counts.c)) AS both, size
+  SELECT doc_id, item_id, start, width, sum(least(shared.c, counts.c)) AS common, size
   FROM shared JOIN counts USING (item_id, size, s) GROUP BY doc_id, item_id, size, start, width),
 scored AS (
-  SELECT doc_id, item_id, both / (size + width - both) AS similarity, start, width FROM alike)
+  SELECT doc_id, item_id, common / (size + width - common) AS similarity, start, width FROM alike)
 SELECT doc_id, item_id, similarity, start::INTEGER AS start, width::BIGINT AS width FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, width) AS k
   FROM scored WHERE similarity >= 0.8) WHERE k = 1"""

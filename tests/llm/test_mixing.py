@@ -1,0 +1,94 @@
+import random
+import re
+from itertools import product
+
+import numpy as np
+import pytest
+
+from stepstream.llm.mixing import fit_lengths, mix, source_targets, take_mix
+
+
+def plain_targets(sizes):
+    """Share by weight; stop at the limit; share the excess again."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, open_sources, left = {}, set(names), 1.5 * sum(sizes.values())
+    while open_sources:
+        share = {s: left * weight[s] / sum(weight[o] for o in open_sources) for s in open_sources}
+        full = {s for s in open_sources if share[s] > 2 * sizes[s]}
+        if not full:
+            return target | share
+        for s in full:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+        open_sources -= full
+    return target
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets(spark, seed):
+    rng = random.Random(seed)
+    sizes = {s: rng.choice([0, 1, 10, 100, 1000, 5000]) for s in ["a", "B", "z", "é", "", *map(str, range(seed * 3))]}
+    if seed % 2:
+        sizes[None] = 77
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    found = {r["source"]: r["target"] for r in source_targets(table).collect()}
+    assert found == pytest.approx(plain_targets(sizes))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_lengths_fit_as_well_as_any_choice(seed):
+    rng = random.Random(seed)
+    sizes = rng.sample(range(1, 40), 4)
+    counts = [rng.randint(1, 3) for _ in sizes]
+    whole = sum(s * c for s, c in zip(sizes, counts))
+    target = rng.uniform(0, 2) * whole
+    copies, extra = fit_lengths(np.array(sizes), np.array(counts), target)
+    assert all(0 <= e <= c for e, c in zip(extra, counts))
+    total = copies * whole + sum(s * e for s, e in zip(sizes, extra))
+    base = int(target // whole) * whole
+    shares = [int(c * ((round(target - base)) / whole)) for c in counts]
+    sums = {base + sum(s * n for s, n in zip(sizes, ns)) for ns in product(*(range(a, c + 1) for a, c in zip(shares, counts)))}
+    assert total == max(s for s in sums if s <= base + round(target - base))
+
+
+def test_mix_of_awkward_rows(make_docs, awkward, prose):
+    rows = [(*r, random.Random(i).choice(["a", "b", None])) for i, r in enumerate(awkward)]
+    rows += [(100 + i, prose(5 + i % 7, i), "b") for i in range(60)] + [(200, "", "empty"), (201, None, "empty")]
+    docs = make_docs(rows, "size", "target", "copies", "_size")
+    found = mix(docs).collect()
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    totals = {}
+    for _, t, s in rows:
+        totals[s] = totals.get(s, 0) + size(t)
+    targets = plain_targets(totals)
+    assert len(found) == len(rows)
+    taken = dict.fromkeys(totals, 0)
+    for r in found:
+        source = r["row"]["source"]
+        assert r["size"] == size(r["row"]["text"]) and r["source_size"] == totals[source]
+        assert r["target"] == pytest.approx(targets[source]) and 0 <= r["copies"] <= 2
+        taken[source] += r["size"] * r["copies"]
+    assert abs(taken["b"] - targets["b"]) <= 1
+    again = mix(docs.repartition(5)).collect()
+    key = lambda r: repr((r["row"]["doc_id"], r["row"]["source"], r["size"], r["copies"]))
+    assert sorted(map(key, found)) == sorted(map(key, again))
+
+
+def test_rows_are_repeated(make_docs, prose):
+    docs = make_docs([(i, prose(10 + i, i), "abc"[i % 3]) for i in range(90)], "_row", "row")
+    taken = take_mix(docs)
+    assert taken.columns == docs.columns
+    copies = {r["doc_id"]: r["count"] for r in taken.groupBy("doc_id").count().collect()}
+    assert {r["row"]["doc_id"]: r["copies"] for r in mix(docs).where("copies > 0").collect()} == copies
+
+
+def test_one_source_and_length_is_spread(make_docs):
+    found = mix(make_docs([(i, "a b", "s") for i in range(500)])).collect()
+    assert sum(r["copies"] for r in found) == 750
+
+
+def test_empty_table(make_docs):
+    docs = make_docs([(1, "a")]).where("doc_id < 0")
+    assert mix(docs).count() == 0
+    assert take_mix(docs).count() == 0

@@ -1,0 +1,77 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from stepstream.llm.quality_rules import RULES, fit_votes, judge, keep_good
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    runs = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i, run in enumerate(zip(words, words[1:], words[2:])) if runs[run] > 1 for k in range(3)}
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            repeated += line in seen
+            seen.add(line)
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return len(words), sum(map(len, words)), symbols, repeated, len(covered), failed
+
+
+def test_base_statistics(make_docs, awkward, prose):
+    twice = prose(10, 9)
+    rows = awkward + [(30, f"{twice}\n{twice}\n{twice} # * $ % & | < >"), (31, "a b c a b c a"), (32, "é é é é é")]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    found = judge(make_docs(rows), "doc_id").select("doc_id", *names).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(((d, *base(t)) for d, t in rows), key=repr)
+
+
+def plain_em(votes, counts, rounds=100):
+    """The same model, one vote at a time."""
+    good = [0.1 / max(1, v.count(0)) if 0 in v else 0.95 for v in votes]
+    for _ in range(rounds):
+        odds = []
+        for c in (0, 1):
+            weight = [(g if c else 1 - g) * n for g, n in zip(good, counts)]
+            seen = [[1 + sum(w for w, v in zip(weight, votes) if v[r] == x) for x in range(3)] for r in range(len(votes[0]))]
+            odds.append([
+                (sum(weight) + 1) * np.prod([seen[r][v[r]] / sum(seen[r]) for r in range(len(v))]) for v in votes
+            ])
+        good = [b / (a + b) for a, b in zip(*odds)]
+    return good
+
+
+def test_expectation_maximisation():
+    rng = np.random.default_rng(1)
+    truth = rng.random(400) < 0.8
+    accuracy = [0.9, 0.8, 0.7, 0.55]
+    votes = np.array([[2 * (t if rng.random() < a else not t) if rng.random() < 0.8 else 1 for a in accuracy] for t in truth])
+    kinds, counts = np.unique(votes, axis=0, return_counts=True)
+    found = fit_votes(kinds, counts.astype(float))
+    assert found == pytest.approx(plain_em([list(map(int, k)) for k in kinds], counts), abs=1e-5)
+
+
+def test_rules_reject_junk_and_keep_prose(make_docs, prose):
+    good = [(i, prose(100 + i, i)) for i in range(60)]
+    junk = [(100 + i, " ".join(w.upper() + "!!" for w in prose(120, i).split())) for i in range(8)]
+    junk += [(200 + i, " ".join(w + "$$$" for w in prose(120, i).split())) for i in range(8)]
+    kept = keep_good(make_docs(good + junk + [(300, "too short"), (301, None)], "kept", "n_words", "quality"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [d for d, _ in good]
+    assert kept.columns[:2] == ["doc_id", "text"] and kept.columns[-1] == "quality"
+
+
+def test_texts_pass_unchanged(make_docs, awkward):
+    kept = keep_good(make_docs(awkward)).select("doc_id", "text").collect()
+    long_enough = [row for row in awkward if not base(row[1])[5]]
+    assert sorted(map(tuple, kept), key=repr) == sorted(long_enough, key=repr)
+
+
+def test_empty_table(make_docs):
+    assert judge(make_docs([(1, "a")]).where("doc_id < 0"), "doc_id").count() == 0
+    assert len(RULES) <= 8  # the table of votes stays small
