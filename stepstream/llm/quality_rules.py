@@ -1,7 +1,7 @@
 """Quality rules by weak supervision: rules vote, expectation-maximisation weighs them.
 
 Each rule looks at one statistic of a text and votes bad, good or not at all. For good
-and bad texts alike, a model keeps how often each rule gives each vote, so it learns which
+and bad texts apart, a model keeps how often each rule's votes are right, so it learns which
 votes mean much and which little. It is fitted by expectation-maximisation on
 how often each combination of votes occurs among all documents. There are at most 3 to
 the power of the number of rules, so this table is small however many documents there are.
@@ -101,7 +101,7 @@ RULES = (
     Rule("capitals", "n_upper", "(n_upper + n_lower)", 0.15, 0.4),
     Rule("shouts", "n_shouts", "n_words", 0.03, 0.2),
     Rule("repeats", "n_repeat_words", "n_words", 0.1, 0.3),
-    Rule("lines", "n_dup_lines", "n_lines", 0.05, 0.3),
+    Rule("lines", "n_dup_lines", "n_lines", 0.05, 0.5),
     Rule("stutters", "n_stutters", "n_words", 0.02, 0.1),
     Rule("word_length", "word_chars", "n_words", 9.0, 14.0),
 )
@@ -110,10 +110,11 @@ RULES = (
 def fit_votes(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
     """Probability that a text is good for each row of ``votes``, seen ``counts`` times.
 
-    A text starts as bad by the share of bad votes it has. One imagined text per vote
-    and class keeps probabilities off 0, and a class that is empty from being forgotten.
+    A text starts as bad if it has bad votes. A rule that abstains says nothing: only how often
+    its votes are good or bad in each class is estimated. One imagined text per vote and class
+    keeps probabilities off 0, and a class that is empty from being forgotten.
     """
-    one_hot = np.eye(3)[votes]
+    one_hot = np.eye(3)[votes][:, :, ::2]
     bad = (votes == 0).sum(axis=1)
     good = np.where(bad > 0, 0.1 / np.maximum(bad, 1), 0.95)
     for _ in range(rounds):

@@ -39,10 +39,9 @@ def plain_em(votes, counts, rounds=100):
         odds = []
         for c in (0, 1):
             weight = [(g if c else 1 - g) * n for g, n in zip(good, counts)]
-            seen = [[1 + sum(w for w, v in zip(weight, votes) if v[r] == x) for x in range(3)] for r in range(len(votes[0]))]
-            odds.append([
-                (sum(weight) + 1) * np.prod([seen[r][v[r]] / sum(seen[r]) for r in range(len(v))]) for v in votes
-            ])
+            seen = [{x: 1 + sum(w for w, v in zip(weight, votes) if v[r] == x) for x in (0, 2)} for r in range(len(votes[0]))]
+            share = [{x: n[x] / sum(n.values()) for x in n} for n in seen]
+            odds.append([(sum(weight) + 1) * np.prod([s.get(x, 1) for s, x in zip(share, v)]) for v in votes])
         good = [b / (a + b) for a, b in zip(*odds)]
     return good
 
