@@ -97,7 +97,7 @@ def _tested(candidates: DataFrame) -> DataFrame:
         {
             "squares": _sum(F.transform("often", lambda x: x * x)),
             "kinds": F.transform("codes", _kind),
-            "mean": _sum("codes") / F.col("n"),
+            "mean": F.try_divide(_sum("codes"), "n"),
         }
     )
     frame = frame.withColumns(
@@ -116,22 +116,22 @@ def _tested(candidates: DataFrame) -> DataFrame:
             "switches": _changes("kinds"),
         }
     )
-    k, n = F.col("symbols"), F.col("n")
-    chi = (k / n * F.col("squares") - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
-    runs = 1 + 2 * F.col("high") * (n - F.col("high")) / n
-    crossing = (F.col("crossings") + 1 - runs) / F.sqrt((runs - 1) * (runs - 2) / (n - 1))
-    serial = (F.col("lagged") / F.col("spread") + 1 / n) * F.sqrt(n)
+    k, n, over = F.col("symbols"), F.col("n"), F.try_divide
+    chi = over(over(k, n) * F.col("squares") - n - (k - 1), F.sqrt(2 * (k - 1) * over(n - 1, n)))
+    runs = 1 + 2 * F.col("high") * over(n - F.col("high"), n)
+    crossing = over(F.col("crossings") + 1 - runs, F.sqrt(over((runs - 1) * (runs - 2), n - 1)))
+    serial = (over("lagged", "spread") + over(F.lit(1.0), n)) * F.sqrt(n)
     within = (chi <= RANDOM_TO) & (F.abs(crossing) <= RANDOM_TO) & (F.abs(serial) <= RANDOM_TO)
     pairs = n * (n - 1) / 2
     triples = 2 * (n - 2) * TEXT_TRIPLE - (2 * n - 3) * TEXT_COLLISION**2
-    recur = (pairs * TEXT_COLLISION - (F.col("squares") - n) / 2) / F.sqrt(pairs * (TEXT_COLLISION + triples))
-    switch = (F.col("switches") - (n - 1) * TEXT_SWITCH) / F.sqrt((n - 1) * TEXT_SWITCH * (1 - TEXT_SWITCH))
+    recur = over(pairs * TEXT_COLLISION - (F.col("squares") - n) / 2, F.sqrt(pairs * (TEXT_COLLISION + triples)))
+    switch = over(F.col("switches") - (n - 1) * TEXT_SWITCH, F.sqrt((n - 1) * TEXT_SWITCH * (1 - TEXT_SWITCH)))
     # A token of one symbol, or of padding only, has no spread to test.
     testable = (n >= LEAST // 2) & (F.col("spread") > 0) & (runs > 2)
     return frame.select(
         *candidates.columns,
         F.length("token").alias("length"),
-        F.when(testable, within).otherwise(False).alias("looks_random"),
+        F.coalesce(testable & within, F.lit(False)).alias("looks_random"),
         F.when(testable, (recur + switch) / math.sqrt(2)).otherwise(0.0).alias("unlike_text"),
     )
 

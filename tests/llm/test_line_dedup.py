@@ -1,0 +1,49 @@
+import random
+
+from stepstream.llm.line_dedup import drop_repeated_lines
+
+
+def plain(rows):
+    """``rows`` in order of id, NULL last; repeated rows are one document."""
+    first, out = {}, {}
+    for d, text in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
+        lines = text.split("\n") if text is not None else []
+        gone = set()
+        for i in range(len(lines) - 2):
+            passage = tuple(lines[i : i + 3])
+            if first.setdefault(passage, (d, i)) != (d, i):
+                gone |= {i, i + 1, i + 2}
+        left = None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        out[d, text] = (left, len(lines), len(gone))
+    return out
+
+
+def check(make_docs, rows, *extra):
+    found = drop_repeated_lines(make_docs(rows, *extra)).collect()
+    expected = plain(rows)
+    got = [(r["row"]["doc_id"], r["row"]["text"], r["n_lines"], r["n_removed"]) for r in found]
+    assert sorted(got, key=repr) == sorted(((d, *expected[d, t]) for d, t in rows), key=repr)
+    return expected
+
+
+def test_random_documents(make_docs):
+    rng = random.Random(3)
+    rows = [(i, "\n".join(rng.choices("abcd", k=rng.randint(0, 12)))) for i in range(120)]
+    expected = check(make_docs, rows, "repeated", "n_lines")
+    assert sum(n for _, _, n in expected.values()) > 100
+
+
+def test_awkward_rows(make_docs):
+    rows = [(None, "p\nq\nr"), (1, None), (2, ""), (3, "\n\n\n\n"), (4, "p\nq\nr"), (4, "p\nq\nr"), (5, "x\np\nq\nr\ny")]
+    rows += [(6, "x\n" * 20_000), (7, "a\nb"), (8, "a\nb"), (9, "p\nq\r\nr")]
+    expected = check(make_docs, rows)
+    assert expected[None, "p\nq\nr"][0] == "" and expected[5, "x\np\nq\nr\ny"][0] == "x\ny"
+
+
+def test_ids_that_name_several_texts(make_docs):
+    found = drop_repeated_lines(make_docs([(1, "a\nb\nc"), (1, "z\na\nb\nc")])).collect()
+    assert sorted(r["n_removed"] for r in found) == [0, 3]
+
+
+def test_empty_table(make_docs):
+    assert drop_repeated_lines(make_docs([(1, "a")]).where("doc_id < 0")).count() == 0

@@ -1,0 +1,66 @@
+"""The pipeline against the operators' own plain versions, and the queries against SQL."""
+
+import numpy as np
+import pytest
+from compare import connect, oracle_rows, spark_rows
+from test_decontaminate import plain as plain_passages
+from test_quality_rules import base
+from test_simhash_dedup import plain_components, plain_fingerprint
+
+import corpus_pipeline
+from stepstream.llm.queries import ORACLES, QUERIES
+
+
+def test_stages():
+    assert [name.split("_")[0] for name, _ in corpus_pipeline.STAGES] == ["quality", "near", "decontamination", "source", "token"]
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_oracle(spark, folder, name):
+    assert spark_rows(QUERIES[name](spark, folder)) == oracle_rows(connect(folder), ORACLES[name])
+
+
+@pytest.fixture
+def written(spark, tmp_path, make_docs, awkward, prose):
+    item = prose(40, 4000)
+    rows = [(1000 + i, prose(60 + i, i + 10)) for i in range(40)]
+    rows += [(2000 + i, rows[i][1]) for i in range(5)]  # copies
+    rows += [(3000, f"{prose(50, 1)} {item} {prose(50, 2)}"), (3001, " ".join(w.upper() + "!!" for w in rows[0][1].split()))]
+    rows = [(*r, "ab"[n % 2]) for n, r in enumerate(rows + awkward)]
+    make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item), (2, None)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return rows, [(1, item)], str(tmp_path)
+
+
+def test_stage_by_stage(spark, written):
+    rows, items, folder = written
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, folder).collect(), docs.schema)
+        assert docs.columns == columns
+        kept[name] = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=repr)
+    good = [(d, t) for d, t, _ in rows if not base(t)[5] and "!!" not in (t or "")]
+    assert kept["quality_rules"] == sorted(good, key=repr)
+    prints = {i: plain_fingerprint(t) for i, (_, t) in enumerate(good)}
+    groups = {}
+    for i, root in plain_components(prints).items():
+        groups.setdefault(root, []).append(good[i])
+    first = [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()]
+    assert [d for d, _ in kept["near_dedup"]] == sorted((d for d, _ in first), key=repr)
+    dirty = {d for d, _ in plain_passages(kept["near_dedup"], items)}
+    assert dirty == {3000}
+    assert kept["decontamination"] == [r for r in kept["near_dedup"] if r[0] not in dirty]
+    assert set(kept["source_mix"]) <= set(kept["decontamination"])
+    whole = corpus_pipeline.run(spark, folder).orderBy("start").collect()
+    assert [r["start"] for r in whole] == np.cumsum([0] + [r["n_tokens"] for r in whole[:-1]]).tolist()
+    assert sorted((r["doc_id"] for r in whole), key=repr) == sorted((d for d, _ in kept["source_mix"]), key=repr)
+
+
+def test_empty_documents(spark, written):
+    _, _, folder = written
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 0")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+    assert docs.count() == 0

@@ -1,0 +1,66 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from stepstream.llm.quality_model import FEATURES, RANK, Machine, features, score_quality
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def test_sum_of_squares_is_the_sum_over_pairs():
+    rng = np.random.default_rng(0)
+    machine = Machine(rng.normal(size=FEATURES + 1), rng.normal(size=(FEATURES, RANK)))
+    found = [features(t, n) for t, n in ((b"a b c a", 7), (b"", None), (b"x " * 60, 120))]
+    starts = np.cumsum([0] + [len(f[0]) for f in found[:-1]])
+    logits = machine.logits(*(np.concatenate([f[k] for f in found]) for k in (0, 1)), starts)
+    for logit, (slots, values) in zip(logits, found):
+        plain = machine.weights[-1] + sum(machine.weights[s] * x for s, x in zip(slots, values))
+        for i in range(len(slots)):
+            for j in range(i):
+                plain += machine.factors[slots[i]] @ machine.factors[slots[j]] * values[i] * values[j]
+        assert logit == pytest.approx(plain)
+
+
+@pytest.fixture(scope="module")
+def corpus(make_docs, spark, prose):
+    rng, rows, labels = random.Random(5), [], []
+    for i in range(400):
+        bad = rng.random() < 0.3
+        text = prose(rng.randint(20, 120), i)
+        rows.append((i, " ".join(w + rng.choice(["$$$", "***"]) for w in text.split()) if bad else text))
+        labels.append((i, int(not bad), 0))
+    return make_docs(rows, "score"), spark.createDataFrame(labels, LABELS), {i: q for i, q, _ in labels}
+
+
+def test_held_out_accuracy(corpus):
+    docs, labels, truth = corpus
+    found = {r["doc_id"]: r for r in score_quality(docs, labels, "doc_id").collect()}
+    assert len(found) == len(truth)
+    for d, r in found.items():
+        assert r["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
+    held = [r for r in found.values() if r["held_out"]]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) >= 0.95
+
+
+def test_held_out_labels_are_not_read(corpus, spark):
+    docs, labels, truth = corpus
+    turned = [(i, 1 - q if zlib.crc32(str(i).encode()) % 4 == 2 else q, 1) for i, q in truth.items()]
+    before = score_quality(docs, labels, "doc_id").collect()
+    after = score_quality(docs, spark.createDataFrame(turned, LABELS), "doc_id").collect()
+    assert sorted(before) == sorted(after)
+
+
+def test_awkward_rows(corpus, make_docs, awkward, spark):
+    _, labels, _ = corpus
+    odd = labels.union(spark.createDataFrame([(None, 1, 0), (1, None, 0), (5, 0, 0), (5, 1, 0), (10**12, 1, 0)], LABELS))
+    found = score_quality(make_docs(awkward), odd, "doc_id").collect()
+    assert len(found) == len(awkward) and all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_without_labels_or_documents(corpus):
+    docs, labels, _ = corpus
+    assert {r["score"] for r in score_quality(docs, labels.where("doc_id < 0"), "doc_id").collect()} == {0.5}
+    assert score_quality(docs.where("doc_id < 0"), labels, "doc_id").count() == 0
