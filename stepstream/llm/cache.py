@@ -2,8 +2,24 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
+_HOME = "stepstream_worker_objects"
+
+
+def in_worker(make: Callable, *key):
+    """``make(*key)``, made once in a Python worker and kept for its later tasks.
+
+    Functions reach a worker anew with each task, globals included, so these are no place to keep it.
+    """
+    kept = vars(sys.modules.setdefault(_HOME, types.ModuleType(_HOME)))
+    name = repr((make.__qualname__, key))
+    if name not in kept:
+        kept[name] = make(*key)
+    return kept[name]
+
 
 class Recent(dict):
     """Remembers ``compute(key)``; at ``most`` keys it starts anew, and takes keys that come back from the last lot."""

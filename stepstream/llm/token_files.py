@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepstream.llm.cache import Recent
+from stepstream.llm.cache import Recent, in_worker
 from stepstream.llm.elias_fano import EliasFano
 from stepstream.workspace import new_dir
 
@@ -88,7 +88,7 @@ def _write_part(path: str, block_ids: int, end: int | None):
     """A function that turns a sorted run of documents into blocks."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = TextEncoder(path), TaskContext.get().partitionId()
+        encoder, part = in_worker(TextEncoder, path), TaskContext.get().partitionId()
         doc_ids, coded, ends, base, block = [], [], [0], 0, 0
 
         def row():
