@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepstream.llm.cache import Recent
+from stepstream.llm.cache import Recent, in_worker
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -120,7 +120,7 @@ def count_column(text: Column, path: str) -> Column:
 
     @F.pandas_udf("bigint")
     def counts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = TokenCounter(path)
+        counter = in_worker(TokenCounter, path)
         for batch in texts:
             yield pd.Series([counter.count(t or b"") for t in batch], dtype="int64")
 
