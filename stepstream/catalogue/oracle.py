@@ -82,18 +82,13 @@ def _previous(partition):
 
 _PREVIOUS_BY_USER = _previous("PARTITION BY user_id")
 
-_BATCH_OF_FLAG = "dense_rank() OVER (ORDER BY l_returnflag NULLS FIRST) - 1 AS batch_id"
+_BATCH_OF_ORDER = "CAST(l_orderkey % 4 AS BIGINT) AS batch_id"
 
 ORACLES = {
     "typed_map_latest": """
         SELECT event_id, ts, user_id, value, value * 2 AS doubled, value * 4 AS redoubled
         FROM events ORDER BY ts DESC, event_id DESC LIMIT 10
     """,
-    "generate_rows": """
-        SELECT row_number() OVER () - 1 AS row_id, 'This is a String' AS "ColumnOne",
-               CAST(100 AS INTEGER) AS "ColumnTwo", CAST(10.999 AS DOUBLE) AS "ColumnThree"
-        FROM orders
-    """,
     "typed_map_projection": _TYPED_EVENTS,
     "typed_map_malformed": """
         SELECT event_id,
@@ -104,17 +99,13 @@ ORACLES = {
     "step_chain": _STEP_CHAIN,
     "sql_step": "SELECT o_orderkey, o_orderstatus, o_totalprice * 2 AS doubled FROM orders",
     "epoch_seconds": "SELECT event_id, CAST(floor(epoch(ts)) AS INTEGER) AS now FROM events",
-    "arrival_timestamp": "SELECT event_id, true AS arrived_after FROM events",
+    "arrival_timestamp": "SELECT event_id, ts < now() AS arrived_after, CAST(0 AS INTEGER) AS hours_off FROM events",
     "word_count": _WORDS,
     "top_words": _TOP_WORDS,
     "window_count": _WINDOWS,
     "window_total": f"SELECT window_start, total FROM ({_WINDOWS})",
     "sum_of_counts": "SELECT count(*) AS sum_counts FROM events",
     "keyed_sum": _SQUARES,
-    "keyed_sum_range": """
-        SELECT CAST(x * x AS BIGINT) AS k, CAST(sum(1) AS BIGINT) AS n
-        FROM (SELECT row_number() OVER () AS x FROM supplier) GROUP BY ALL
-    """,
     "latest_row": _LATEST + "1",
     "latest_n": _LATEST + "10",
     "latest_per_key": _LATEST_PER_KEY,
@@ -122,7 +113,12 @@ ORACLES = {
     "previous_event": _PREVIOUS_BY_USER,
     "previous_event_global": _previous(""),
     "json_round_trip": "SELECT * FROM events",
-    "append_rows_stream": _TYPED_EVENTS,
+    "append_rows_stream": f"""
+        {_TYPED_EVENTS}
+        UNION ALL SELECT -1, TIMESTAMP '2024-01-01 00:00:00', 0, 'start', 0.5, '{{}}'
+        UNION ALL SELECT -2, TIMESTAMP '2024-01-01 00:00:00', 0, 'end', NULL, '{{}}'
+    """,
+    "restart_stream": "SELECT event_id, user_id, ts FROM events",
     "step_chain_stream": _STEP_CHAIN,
     "word_count_stream": _WORDS,
     "top_words_stream": _TOP_WORDS,
@@ -132,7 +128,11 @@ ORACLES = {
     """,
     "window_count_stream_update": _WINDOWS,
     "window_count_stream_complete": _WINDOWS,
-    "window_count_arrival": "SELECT count(*) AS sum_counts FROM events",
+    "window_count_arrival": """
+        SELECT count(*) AS sum_counts, CAST(5000 AS BIGINT) AS shortest_ms, CAST(5000 AS BIGINT) AS longest_ms,
+               true AS aligned, true AS around_now
+        FROM events
+    """,
     "late_rows_append": f"""
         {_LATE} SELECT * FROM counted
         WHERE window_end <= (SELECT max(ts) - INTERVAL 3 DAY FROM events)
@@ -142,17 +142,22 @@ ORACLES = {
     "keyed_sum_per_batch": f"""
         SELECT batch_id, CAST(l_linenumber AS BIGINT) * l_linenumber AS k,
                CAST(sum(1) AS BIGINT) AS n
-        FROM (SELECT l_linenumber, {_BATCH_OF_FLAG} FROM lineitem) GROUP BY ALL
+        FROM (SELECT l_linenumber, {_BATCH_OF_ORDER} FROM lineitem) GROUP BY ALL
     """,
     "batch_preview": f"""
         SELECT l_orderkey, l_linenumber, batch_id
-        FROM (SELECT l_orderkey, l_linenumber, {_BATCH_OF_FLAG} FROM lineitem)
+        FROM (SELECT l_orderkey, l_linenumber, {_BATCH_OF_ORDER} FROM lineitem)
         QUALIFY row_number() OVER (
           PARTITION BY batch_id ORDER BY l_orderkey, l_linenumber
         ) <= 10
     """,
     "latest_per_key_stream": _LATEST_PER_KEY,
     "previous_event_stream": _PREVIOUS_BY_USER,
+    "previous_amount_stream": """
+        SELECT event_id, user_id, value,
+               lag(value, 1, 0) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_value
+        FROM events
+    """,
     "stream_progress": f"""
         {_SPANS} SELECT CAST(span AS BIGINT) AS batch_id, count(*) AS num_input_rows
         FROM spans GROUP BY span

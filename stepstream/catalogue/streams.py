@@ -6,6 +6,7 @@ what counts as late is the same at any size and on any number of executors.
 
 from __future__ import annotations
 
+import time
 from uuid import uuid4
 
 from pyspark.sql import functions as F
@@ -25,7 +26,6 @@ from stepstream.operators import (
     latest_by_key,
     preview,
     top_counts,
-    total,
     window_bounds,
     window_count,
     word_count,
@@ -40,33 +40,35 @@ from stepstream.streaming import (
     run_step,
 )
 from stepstream.streaming.handle import AVAILABLE_NOW, ROCKSDB_STATE
-from stepstream.workspace import new_dir
+from stepstream.workspace import new_dir, remove
 
 SPANS = 4
+_BATCH = "_batch"
 
 
 def in_batches(batches, step, make_sink, mode="append", landed_as="parquet", conf=None):
     """Feed ``batches`` one by one through ``step`` into a sink and return the handles of the runs.
 
-    ``make_sink`` gets a path and the schema of the step's result.
+    ``make_sink`` gets a path and the schema of the step's result. What the batches were stored in,
+    landing and checkpoint are removed at the end; the result belongs to the caller.
     """
-    first = batches[0]
-    spark = first.sparkSession
-    landing = RowLanding(spark, new_dir(spark, "landing"), first.schema, landed_as)
+    spark = batches[0].sparkSession
+    schema = T.StructType(batches[0].schema.fields[:1]) if landed_as == "text" else batches[0].schema
+    landing = RowLanding(spark, new_dir(spark, "landing"), schema, landed_as)
     queue = BatchQueue(landing)
     for batch in batches:
         queue.put(batch)
     stepped = step(landing.stream())
     sink = make_sink(new_dir(spark, "result"), stepped.schema)
-    checkpoint = new_dir(spark, "checkpoint")
-    return queue.drain(lambda: run_through(stepped, sink, mode, conf, checkpoint))
+    try:
+        return queue.drain(lambda: run_through(stepped, sink, mode, conf))
+    finally:
+        _clear(batches, landing, sink)
 
 
 def run_through(stepped, sink, mode="append", conf=None, checkpoint=None):
     """Run a step on all rows that are there, and return its handle once it has ended."""
-    step_id = f"step-{uuid4().hex}"
-    conf = {**_local_settings(stepped.sparkSession), **(conf or {})}
-    handle = run_step(stepped, step_id, sink, mode, AVAILABLE_NOW, checkpoint, conf)
+    handle = run_step(stepped, f"step-{uuid4().hex}", sink, mode, AVAILABLE_NOW, checkpoint, conf)
     try:
         handle.wait()
     finally:
@@ -74,6 +76,24 @@ def run_through(stepped, sink, mode="append", conf=None, checkpoint=None):
     return handle
 
 
+def _clear(batches, landing, sink):
+    for path in (getattr(batches, "path", None), landing.path, sink.checkpoint):
+        if path:
+            remove(landing.spark, path)
+
+
+class Batches(list):
+    """A table split by ``number``, 0 to ``count`` - 1, and stored so in one pass over it."""
+
+    def __init__(self, df, number, count):
+        spark = df.sparkSession
+        self.path = new_dir(spark, "batches")
+        df.withColumn(_BATCH, number.cast("int")).write.partitionBy(_BATCH).parquet(self.path)
+        schema = T.StructType([*df.schema.fields, T.StructField(_BATCH, T.IntegerType())])
+        stored = spark.read.schema(schema).parquet(self.path)
+        super().__init__(stored.where(F.col(_BATCH) == i).drop(_BATCH) for i in range(count))
+
+
 def _bounds(events):
     """Starts of all spans but the first: four equal parts of the time that the events cover."""
     ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
@@ -85,29 +105,53 @@ def _bounds(events):
     return [F.expr(f"timestampadd(MICROSECOND, {start}L, {epoch})") for start in starts]
 
 
+def _span_of(events):
+    number = F.lit(0)
+    for i, start in enumerate(_bounds(events), 1):
+        number = F.when(F.col("ts") >= start, i).otherwise(number)
+    return number
+
+
 def _spans(events):
-    """One DataFrame per span, by bounds that the parquet scan can skip row groups with."""
-    bounds, ts = _bounds(events), F.col("ts")
-    if not bounds:
-        return [events]
-    first = events.where((ts < bounds[0]) | ts.isNull())
-    inner = [events.where((ts >= a) & (ts < b)) for a, b in zip(bounds, bounds[1:])]
-    return [first, *inner, events.where(ts >= bounds[-1])]
+    """One batch per span; events without a time come with the first."""
+    return Batches(events, _span_of(events), SPANS)
 
 
 def _spans_with_delay(events):
     """As :func:`_spans`, but each error event arrives with the span after its own."""
-    spans, is_error = _spans(events), F.col("event_type").eqNullSafe("error")
-    on_time = [s.where(~is_error) for s in spans]
-    delayed = [s.where(is_error) for s in spans]
-    between = [o.unionByName(d) for o, d in zip(on_time[1:], delayed[:-1])]
-    return [on_time[0], *between, delayed[-1]]
+    late = F.coalesce(F.col("event_type") == "error", F.lit(False)).cast("int")
+    return Batches(events, _span_of(events) + late, SPANS + 1)
 
 
 def append_rows(spark, folder):
-    batches = [to_map_rows(s) for s in _spans(read_table(spark, folder, "events"))]
-    runs = in_batches(batches, lambda df: typed_projection(df, EVENT_ROW), FileSink)
-    return runs[-1].table()
+    """Events as string maps, span by span; then the default row, and one with values of its own."""
+    batches = _spans(read_table(spark, folder, "events"))
+    landing = RowLanding(spark, new_dir(spark, "landing"), EVENT_ROW)
+    stepped = typed_projection(landing.stream(), EVENT_ROW)
+    sink = FileSink(new_dir(spark, "result"), stepped.schema)
+    for part in batches:
+        landing.add_rows(to_map_rows(part))
+        run_through(stepped, sink)
+    landing.add_row()
+    landing.add_row(["-2", "2024-01-01 00:00:00", "0", "end", None, "{}"])
+    table = run_through(stepped, sink).table()
+    _clear(batches, landing, sink)
+    return table
+
+
+def restart(spark, folder):
+    """The step stops after two spans. A new sink and stream on the same table take the other two, and no row twice."""
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts")
+    batches = _spans(events)
+    path = new_dir(spark, "result")
+    landing = RowLanding(spark, new_dir(spark, "landing"), events.schema)
+    for parts in (batches[:2], batches[2:]):
+        for part in parts:
+            landing.add_rows(part)
+        run_through(landing.stream(), FileSink(path, events.schema))
+    sink = FileSink(path, events.schema)
+    _clear(batches, landing, sink)
+    return sink.table(spark)
 
 
 def step_chain(spark, folder):
@@ -117,10 +161,10 @@ def step_chain(spark, folder):
 
 
 def words(spark, folder):
-    """Documents arrive as lines of text, one language after the other."""
-    documents = read_table(spark, folder, "documents").select("lang", "text")
+    """Documents arrive as lines of text in four batches."""
+    documents = read_table(spark, folder, "documents").select(F.col("text").alias("value"), "doc_id")
     runs = in_batches(
-        [part.select(F.col("text").alias("value")) for part in _parts(documents, "lang")],
+        Batches(documents, F.coalesce(F.pmod("doc_id", F.lit(4)), F.lit(0)), 4),
         lambda lines: word_count(lines, "value"),
         CompleteSink,
         "complete",
@@ -137,15 +181,6 @@ def top_words(spark, folder):
     return top_counts(run_through(counts, sink, "update", ROCKSDB_STATE).table(), 10)
 
 
-def _parts(df, column):
-    """One DataFrame per value of a column that has few by nature, in order, NULL first."""
-    found = df.select(column).distinct().limit(1001).collect()
-    if len(found) > 1000:
-        raise ValueError(f"{column} has too many values to make a batch of each")
-    values = sorted((row[0] for row in found), key=lambda v: (v is not None, v)) or [None]
-    return [df.where(F.col(column).eqNullSafe(F.lit(v))) for v in values]
-
-
 def _windows(spark, folder, mode, make_sink, batches=_spans, watermark="5 seconds"):
     events = read_table(spark, folder, "events").select("event_type", "ts")
     runs = in_batches(
@@ -186,30 +221,40 @@ def late_complete(spark, folder):
 
 
 def windows_of_arrival(spark, folder):
-    """Which window a row falls in depends on the clock; that each is counted once does not."""
+    """Which window a row falls in depends on the clock; that it is one of 5 seconds around now, and counted once, does not."""
     events = read_table(spark, folder, "events").select("event_id", "ts")
+    asked_at = time.time()
     runs = in_batches(
         _spans(events),
         lambda df: window_count(with_arrival_time(df), "Now", "5 seconds", "5 seconds"),
         _upsert_windows,
         "update",
     )
-    return total(runs[-1].table(), "total", "sum_counts")
+    start, end = F.unix_millis("window.start"), F.unix_millis("window.end")
+    near = (start / 1e3 > F.lit(asked_at) - 60) & (end / 1e3 < F.lit(time.time()) + 60)
+    return runs[-1].table().agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("sum_counts"),
+        F.coalesce(F.min(end - start), F.lit(5000)).cast("bigint").alias("shortest_ms"),
+        F.coalesce(F.max(end - start), F.lit(5000)).cast("bigint").alias("longest_ms"),
+        F.coalesce(F.every(start % 5000 == 0), F.lit(True)).alias("aligned"),
+        F.coalesce(F.every(near), F.lit(True)).alias("around_now"),
+    )
 
 
-def _per_flag(spark, folder, step, schema):
-    """One batch per return flag; ``step`` sees each batch alone."""
-    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+def _per_order(spark, folder, step, schema):
+    """Four batches by order key; ``step`` sees each batch alone."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    batches = Batches(lines, F.coalesce(F.pmod("l_orderkey", F.lit(4)), F.lit(0)), 4)
 
     def make_sink(path, _):
         return BatchSink(path, schema, step)
 
-    return in_batches(_parts(lines, "l_returnflag"), lambda df: df, make_sink)[-1].table()
+    return in_batches(batches, lambda df: df, make_sink)[-1].table()
 
 
 def squares_per_batch(spark, folder):
     schema = T.StructType.fromDDL("k BIGINT, n BIGINT")
-    return _per_flag(
+    return _per_order(
         spark, folder, lambda b: keyed_sum(squared_pairs(b, "l_linenumber"), "k", "n"), schema
     )
 
@@ -217,7 +262,7 @@ def squares_per_batch(spark, folder):
 def preview_per_batch(spark, folder):
     schema = T.StructType.fromDDL("l_orderkey BIGINT, l_linenumber INT")
     order = ["l_orderkey", "l_linenumber"]
-    return _per_flag(spark, folder, lambda b: preview(b.select(*order), 10, order), schema)
+    return _per_order(spark, folder, lambda b: preview(b.select(*order), 10, order), schema)
 
 
 def latest_per_key(spark, folder):
@@ -241,6 +286,17 @@ def previous_event(spark, folder):
     return rows.select("event_id", "user_id", epoch_millis(rows, "ts").alias("current_ms"), "last_ms")
 
 
+def previous_amount(spark, folder):
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
+
+    def make_sink(path, schema):
+        order, keys = ["ts", "event_id"], ["user_id"]
+        return PreviousSink(path, schema, lambda df: F.col("value"), order, keys, name="last_value")
+
+    rows = in_batches(_spans(events), lambda df: df, make_sink)[-1].table()
+    return rows.select("event_id", "user_id", "value", "last_value")
+
+
 def progress(spark, folder):
     events = read_table(spark, folder, "events").select("event_id", "ts")
     runs = in_batches(_spans(events), lambda df: df, FileSink)
@@ -251,32 +307,22 @@ def progress(spark, folder):
     return joined.where("num_input_rows > 0").select("batch_id", "num_input_rows")
 
 
-def _local_settings(spark):
-    """On one machine, more state partitions than cores only make more files. A cluster's setting stands."""
-    context, key = spark.sparkContext, "spark.sql.shuffle.partitions"
-    if not context.master.startswith("local"):
-        return {}
-    return {key: str(min(int(spark.conf.get(key)), context.defaultParallelism))}
-
-
 def live_and_snapshot(spark, folder):
     """Count a live table and a snapshot of it, both taken after the first of two batches, after the second."""
     events = read_table(spark, folder, "events").select("event_id", "ts")
-    first, *others = _spans(events)
-    rest = others[0]
-    for other in others[1:]:
-        rest = rest.unionByName(other)
+    batches = _spans(events)
     landing = RowLanding(spark, new_dir(spark, "landing"), events.schema)
     sink = FileSink(new_dir(spark, "result"), events.schema)
-    checkpoint = new_dir(spark, "checkpoint")
 
-    def run(batch):
-        landing.add_rows(batch)
-        return run_through(landing.stream(), sink, checkpoint=checkpoint)
+    def run(parts):
+        for part in parts:
+            landing.add_rows(part)
+        return run_through(landing.stream(), sink)
 
-    handle = run(first)
+    handle = run(batches[:1])
     snapshot = handle.snapshot()
-    run(rest)
+    run(batches[1:])
+    _clear(batches, landing, sink)
     live = handle.table().agg(F.count("*").alias("n")).select(F.lit("live").alias("kind"), "n")
     return live.unionByName(
         snapshot.agg(F.count("*").alias("n")).select(F.lit("snapshot").alias("kind"), "n")
@@ -285,6 +331,7 @@ def live_and_snapshot(spark, folder):
 
 STREAM_QUERIES = {
     "append_rows_stream": append_rows,
+    "restart_stream": restart,
     "step_chain_stream": step_chain,
     "word_count_stream": words,
     "top_words_stream": top_words,
@@ -299,6 +346,7 @@ STREAM_QUERIES = {
     "batch_preview": preview_per_batch,
     "latest_per_key_stream": latest_per_key,
     "previous_event_stream": previous_event,
+    "previous_amount_stream": previous_amount,
     "stream_progress": progress,
     "live_vs_snapshot": live_and_snapshot,
 }

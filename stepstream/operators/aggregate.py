@@ -74,8 +74,12 @@ def latest(df: DataFrame, ts: str, tiebreak: Sequence[str]) -> DataFrame:
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str]
 ) -> DataFrame:
-    """The latest row of each key. On a stream use ``update`` mode with an upsert, or ``complete``."""
-    return df.groupBy(*keys).agg(_greatest_row(ts, tiebreak)).select("row.*")
+    """The latest row of each key. On a stream use ``update`` mode with an upsert, or ``complete``.
+
+    Without ``keys`` it is the latest of all, and empty input gives no row.
+    """
+    best = df.groupBy(*keys).agg(_greatest_row(ts, tiebreak))
+    return best.where(F.col("row").isNotNull()).select("row.*")
 
 
 def _greatest_row(by: str, tiebreak: Sequence[str]):

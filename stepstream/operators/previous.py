@@ -12,6 +12,7 @@ from stepstream.functions.time import epoch_micros
 
 _POINT, _SLICE, _VALUE, _CUTS, _BEFORE = "_point", "_slice", "_value", "_cuts", "_before"
 _LOOKED_AT = 10  # rows looked at for each cut, which evens out the sizes of the slices
+_SEED = 42
 _PER_PARTITION = 4  # slices for each shuffle partition, which evens out the partitions
 _INSTANTS = (T.TimestampType, T.TimestampNTZType)
 
@@ -64,15 +65,18 @@ def previous_value(
 
 
 def _cuts(candidates: DataFrame, slices: int) -> Column:
-    """Sorted literal array of at most ``slices`` rows that cut the table."""
-    count = candidates.count()
-    share = min(1.0, slices * _LOOKED_AT / max(count, 1))
-    step = max(1, round(count * share / slices))
-    kind = T.ArrayType(candidates.schema["cut"].dataType)
-    looked_at = candidates.sample(share).agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
-    every_step = F.filter("cuts", lambda _, i: i % step == step - 1)
-    found = looked_at.select(F.to_json(every_step)).first()[0]
-    return F.from_json(F.lit(found), kind)
+    """Sorted array of at most ``slices`` rows that cut the table, as a scalar subquery.
+
+    One pass draws the rows. The subquery keeps the cuts out of the text of the plan,
+    which names them at every halving.
+    """
+    spark, kind = candidates.sparkSession, T.ArrayType(candidates.schema["cut"].dataType)
+    drawn = candidates.orderBy(F.rand(_SEED)).limit(slices * _LOOKED_AT)
+    looked_at = drawn.agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+    turn = lambda i: F.floor(i * F.lit(slices) / F.greatest(F.size("cuts"), F.lit(1)))
+    evenly = F.filter("cuts", lambda _, i: turn(i + 1) > turn(i))
+    found = looked_at.select(F.to_json(evenly)).first()[0]
+    return spark.createDataFrame([(found,)], "cuts string").select(F.from_json("cuts", kind)).scalar()
 
 
 def _number_slices(df: DataFrame, slices: int) -> DataFrame:
@@ -81,8 +85,7 @@ def _number_slices(df: DataFrame, slices: int) -> DataFrame:
     They stay in code generation, which a higher-order function over the cuts would leave.
     """
     df = df.withColumn(_SLICE, F.lit(0))
-    # Twice the slices leaves room for a sample that came out larger than expected.
-    for i in reversed(range((2 * slices).bit_length())):
+    for i in reversed(range(slices.bit_length())):
         tried = F.col(_SLICE) + (1 << i)
         passed = F.get(F.col(_CUTS), tried - 1)[_POINT] < F.col(_POINT)
         df = df.withColumn(_SLICE, F.when(passed, tried).otherwise(F.col(_SLICE)))

@@ -78,11 +78,15 @@ class StepHandle:
         return self.spark.read.schema(now.schema).parquet(path)
 
     def progress(self) -> DataFrame:
-        """Rows read per micro-batch and source, from the progress reports that the session keeps.
+        """Rows read per micro-batch and source, from the progress reports of this run.
 
         ``late_groups_dropped`` counts what the watermark dropped after partial
-        aggregation; it is not a count of input rows.
+        aggregation; it is not a count of input rows. The session keeps the last
+        ``spark.sql.streaming.numRecentProgressUpdates`` reports; once it may have dropped one, this raises.
         """
+        kept = int(self.spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+        if len(self.query.recentProgress) >= kept:
+            raise RuntimeError(f"more than {kept} reports; raise spark.sql.streaming.numRecentProgressUpdates")
         rows = []
         for report in self.query.recentProgress:
             dropped = sum(s.numRowsDroppedByWatermark for s in report.stateOperators)
@@ -113,7 +117,8 @@ def run_step(
 
     ``trigger`` is an interval (``"3 seconds"``), :data:`AVAILABLE_NOW` to process
     what is there and end, or ``None`` to start each micro-batch when the last one
-    is done. A run with the ``checkpoint`` of an earlier one goes on where that ended.
+    is done. A run with the ``checkpoint`` of an earlier one goes on where that ended. By default a
+    sink that keeps files has its own, so a step that starts again on its table takes new rows only.
     ``conf`` holds session settings for this query alone, e.g. :data:`ROCKSDB_STATE`.
     """
     if mode not in OUTPUT_MODES:
@@ -121,9 +126,10 @@ def run_step(
     spark = df.sparkSession
     if any(q.name == step_id for q in spark.streams.active):
         raise ValueError(f"step {step_id!r} is already running")
+    sink.bind(step_id)
     writer = sink.attach(df.writeStream.queryName(step_id).outputMode(mode))
     if checkpoint is not None or sink.recoverable:
-        writer = writer.option("checkpointLocation", checkpoint or new_dir(spark, "checkpoint"))
+        writer = writer.option("checkpointLocation", checkpoint or sink.checkpoint or new_dir(spark, "checkpoint"))
     if trigger == AVAILABLE_NOW:
         writer = writer.trigger(availableNow=True)
     elif trigger is not None:

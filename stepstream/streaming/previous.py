@@ -11,17 +11,22 @@ from pyspark.sql import types as T
 from stepstream.operators.aggregate import latest_by_key
 from stepstream.operators.previous import previous_value
 from stepstream.streaming.sinks import BATCH_ID, Sink, _read_parts, _sized
+from stepstream.workspace import committed_parts
 
-_CARRIED = "_carried"
+_CARRIED, _VALUE = "_carried", "_value"
+_FOLD = 16  # batches after which the state is written whole
 
 
 class PreviousSink(Sink):
     """Adds to each row the ``value`` of the row before of its key, over the whole stream.
 
-    Between batches it keeps the last row of each key. In a batch those rows join
-    the new ones and the batch operator does the rest, so a key that fills a batch
-    is still spread over many tasks. Rows of a key must arrive in order of
-    ``order_by`` from batch to batch; inside a batch they may be in any order.
+    Between batches it keeps order and value of the last row of each key. In a batch
+    those of its keys join the new rows and the batch operator does the rest, so a key that
+    fills a batch is still spread over many tasks. Rows of a key must arrive in
+    order of ``order_by`` from batch to batch; inside a batch they may be in any order.
+
+    The state is a log: a batch writes the keys that it changed, and every 16th
+    batch all of them, so a batch reads at most that many parts of it.
     """
 
     def __init__(
@@ -31,7 +36,7 @@ class PreviousSink(Sink):
         value: Callable[[DataFrame], Column],
         order_by: Sequence[str],
         keys: Sequence[str],
-        default: int = 0,
+        default=0,
         name: str = "previous",
     ):
         self.path = path
@@ -41,32 +46,56 @@ class PreviousSink(Sink):
         self.keys = list(keys)
         self.default = default
         self.name = name
-        self.state_schema = T.StructType(
-            [f for f in schema.fields if f.name in {*self.keys, *self.order_by}]
-        )
 
     def attach(self, writer):
         return writer.foreachBatch(self._write)
 
-    def _state_path(self, batch_id):
-        return f"{self.path}/state/slot={batch_id % 2}"
+    def _valued(self, rows):
+        return rows.withColumn(_VALUE, self.value(rows))
 
     def _write(self, batch, batch_id):
-        spark = batch.sparkSession
-        rows = batch.withColumn(_CARRIED, F.lit(False))
-        if batch_id > 0:
-            state = spark.read.schema(self.state_schema).parquet(self._state_path(batch_id - 1))
-            carried = state.withColumn(_CARRIED, F.lit(True))
-            rows = rows.unionByName(carried, allowMissingColumns=True)
-        result = previous_value(
-            rows, self.value(rows), self.order_by, self.keys, self.default, self.name
-        )
-        out = f"{self.path}/rows/{BATCH_ID}={batch_id}"
-        result.where(~F.col(_CARRIED)).drop(_CARRIED).write.mode("overwrite").parquet(out)
+        rows = self._valued(batch).persist()
+        try:
+            state = self._state(rows, batch_id)
+            carried = state if not self.keys else self._of_keys(state, rows)
+            both = rows.withColumn(_CARRIED, F.lit(False)).unionByName(
+                carried.withColumn(_CARRIED, F.lit(True)), allowMissingColumns=True
+            )
+            result = previous_value(
+                both, F.col(_VALUE), self.order_by, self.keys, self.default, self.name
+            )
+            out = f"{self.path}/rows/{BATCH_ID}={batch_id}"
+            result = result.where(~F.col(_CARRIED)).drop(_CARRIED, _VALUE)
+            result.write.mode("overwrite").parquet(out)
+            last = rows.select(*state.columns)
+            if batch_id % _FOLD == 0:
+                last = last.unionByName(state)
+            first, *rest = self.order_by
+            last = latest_by_key(last, self.keys, first, rest)
+            _sized(last).write.mode("overwrite").parquet(f"{self.path}/state/{BATCH_ID}={batch_id}")
+        finally:
+            rows.unpersist()
+
+    def _state(self, rows, batch_id):
+        """The last row of each key in the batches before."""
+        spark, path = rows.sparkSession, f"{self.path}/state"
+        names = [*self.keys, *[c for c in self.order_by if c not in self.keys], _VALUE]
+        schema = rows.select(*names).schema
+        whole = (batch_id - 1) // _FOLD * _FOLD
+        parts = [i for i in committed_parts(spark, path, BATCH_ID) if whole <= i < batch_id]
+        log = _read_parts(spark, path, schema, parts).drop(BATCH_ID)
         first, *rest = self.order_by
-        last = latest_by_key(rows.select(*self.state_schema.names), self.keys, first, rest)
-        _sized(last).write.mode("overwrite").parquet(self._state_path(batch_id))
+        return latest_by_key(log, self.keys, first, rest)
+
+    def _of_keys(self, state, rows):
+        """Those of the state whose key the batch has; structs compare with NULL equal to NULL."""
+        key = F.struct(*self.keys).alias("_key")
+        present = rows.select(key).distinct()
+        return state.withColumn("_key", key).join(present, "_key", "left_semi").drop("_key")
 
     def table(self, spark):
-        schema = T.StructType([*self.schema.fields, T.StructField(self.name, T.LongType())])
-        return _read_parts(spark, f"{self.path}/rows", schema, BATCH_ID).drop(BATCH_ID)
+        empty = self._valued(spark.createDataFrame([], self.schema))
+        value = F.when(F.lit(True), F.col(_VALUE)).otherwise(F.lit(self.default))
+        schema = empty.select(*self.schema.names, value.alias(self.name)).schema
+        path = f"{self.path}/rows"
+        return _read_parts(spark, path, schema, committed_parts(spark, path, BATCH_ID)).drop(BATCH_ID)

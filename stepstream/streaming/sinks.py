@@ -1,26 +1,39 @@
 """Sinks of a step and the tables they fill.
 
 Sinks built on ``foreachBatch`` write a batch to a place that its id alone
-decides, so a batch that is replayed after a failure replaces its own output.
+decides, so a batch that is replayed after a failure replaces its own output. Readers
+see a batch once its write has been committed, and not before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from stepstream.workspace import committed_parts, remove
+
 BATCH_ID = "batch_id"
+BASE = -1  # stands below all batches
 NTZ_MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 TIMESTAMP_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 class Sink:
     recoverable = True
+    path: str | None = None
+    _checkpoint: str | None = None
+
+    @property
+    def checkpoint(self) -> str | None:
+        """Where a step that writes here keeps how far it has come: beside the table, so a restart goes on."""
+        return self._checkpoint or (self.path and f"{self.path.rstrip('/')}-checkpoint")
+
+    def bind(self, step_id: str) -> None:
+        """Called with the id of the step that is about to write here."""
 
     def attach(self, writer: DataStreamWriter) -> DataStreamWriter:
         raise NotImplementedError
@@ -34,7 +47,10 @@ class MemorySink(Sink):
 
     recoverable = False
 
-    def __init__(self, step_id: str):
+    def __init__(self):
+        self.step_id: str | None = None
+
+    def bind(self, step_id):
         self.step_id = step_id
 
     def attach(self, writer):
@@ -95,7 +111,7 @@ class BatchSink(Sink):
         _sized(self.step(batch)).write.mode("overwrite").parquet(place)
 
     def table(self, spark):
-        return _read_parts(spark, self.path, self.schema, BATCH_ID)
+        return _read_parts(spark, self.path, self.schema, committed_parts(spark, self.path, BATCH_ID))
 
 
 class UpsertSink(BatchSink):
@@ -129,21 +145,20 @@ class UpsertSink(BatchSink):
     def compact(self, spark: SparkSession, path: str) -> UpsertSink:
         """Write the newest versions to ``path`` and return a sink there for the next run of the step.
 
-        Call it between runs. The log as it was stays in place until its owner removes it.
+        Call it between runs. They stand below all batches, so a batch that is replayed replaces
+        its own rows only. The new sink goes on from the checkpoint of this one. The log as
+        it was stays in place until its owner removes it.
         """
-        log = super().table(spark)
-        last = log.agg(F.max(BATCH_ID)).first()[0]
         folded = UpsertSink(path, self.schema, self.keys)
-        if last is not None:
-            folded.write_batch(self.table(spark), last)
+        folded._checkpoint = self.checkpoint
+        folded.write_batch(self.table(spark), BASE)
         return folded
 
 
 class CompleteSink(Sink):
     """The whole result of the last batch, for ``complete`` mode.
 
-    Batches take turns in ``versions`` places, so a reader of the last one is not
-    disturbed by the next, and old results do not pile up.
+    The last ``versions`` results are kept, so a reader of the last one is not disturbed by the next.
     """
 
     def __init__(self, path: str, schema: T.StructType, versions: int = 2):
@@ -157,31 +172,34 @@ class CompleteSink(Sink):
         return writer.foreachBatch(self._write)
 
     def _write(self, batch, batch_id):
-        place = f"{self.path}/version={batch_id % self.versions}"
-        numbered = batch.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
-        _sized(numbered).write.mode("overwrite").parquet(place)
+        spark = batch.sparkSession
+        _sized(batch).write.mode("overwrite").parquet(f"{self.path}/{BATCH_ID}={batch_id}")
+        for old in committed_parts(spark, self.path, BATCH_ID)[: -self.versions]:
+            remove(spark, f"{self.path}/{BATCH_ID}={old}")
 
     def table(self, spark):
-        full = T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
-        stored = _read_parts(spark, self.path, full, "version")
-        newest = stored.agg(F.max_by("version", BATCH_ID)).first()[0]
-        return stored.where(F.col("version") == F.lit(newest)).select(*self.schema.names)
+        newest = committed_parts(spark, self.path, BATCH_ID)[-1:]
+        return _read_parts(spark, self.path, self.schema, newest).select(*self.schema.names)
 
 
 def _sized(df):
-    """Files of a useful size, where a stateful step would write one per shuffle partition."""
-    return df.hint("rebalance")
-
-
-def _read_parts(spark, path, schema, part):
-    """Partitioned files under ``path``; an empty table when no batch has been written."""
-    full = T.StructType([*schema.fields, T.StructField(part, T.LongType())])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """At most one file per core, where a stateful step would write one per state partition.
+
+    Spark runs stateful micro-batches without adaptive execution; where that is on, it sizes the files.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df
+    return df.coalesce(max(1, spark.sparkContext.defaultParallelism))
+
+
+def _read_parts(spark, path, schema, batch_ids):
+    """The given batches of a sink with their ``batch_id``; an empty table when there are none."""
+    full = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
+    if not batch_ids:
         return spark.createDataFrame([], full)
+    places = [f"{path}/{BATCH_ID}={batch_id}" for batch_id in batch_ids]
+    return spark.read.schema(full).option("basePath", path).parquet(*places)
 
 
 def write_json(df: DataFrame, path: str) -> None:

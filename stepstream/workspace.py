@@ -26,3 +26,25 @@ def new_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, which may be any that Spark writes to, and the path in its terms."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it; it need not exist."""
+    files, there = _hadoop(spark, path)
+    files.delete(there, True)
+
+
+def committed_parts(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n, in order, of the folders ``<path>/<name>=n`` whose write has been committed.
+
+    Spark puts a ``_SUCCESS`` file into a folder once all of its files are in place.
+    """
+    files, pattern = _hadoop(spark, f"{path}/{name}=*/_SUCCESS")
+    found = files.globStatus(pattern) or []
+    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)

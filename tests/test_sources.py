@@ -72,7 +72,7 @@ def test_dynamic_rows_live(spark):
     """One default row, then ten more, through a live step: all typed, in declared order."""
     landing = RowLanding(spark, new_dir(spark, "landing"), DYNAMIC)
     stream = typed_projection(landing.stream(), DYNAMIC)
-    handle = run_step(stream, "My_Step_ID", MemorySink("My_Step_ID"))
+    handle = run_step(stream, "my_step", MemorySink())
     try:
         landing.add_row()
         handle.process_all()
@@ -152,7 +152,7 @@ def test_text_stream(spark, tmp_path):
     (tmp_path / "lines.txt").write_text("Foobar one\nfoobar two\n")
     stream = text_stream(spark, "text", path=str(tmp_path))
     assert stream.isStreaming and stream.schema == T.StructType.fromDDL("value STRING")
-    handle = run_step(stream, "lines", MemorySink("lines"), trigger=AVAILABLE_NOW)
+    handle = run_step(stream, "lines", MemorySink(), trigger=AVAILABLE_NOW)
     handle.wait()
     assert sorted(r.value for r in handle.table().collect()) == ["Foobar one", "foobar two"]
 

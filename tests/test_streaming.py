@@ -155,9 +155,9 @@ def test_streaming_order_needs_complete_mode(spark):
     landing = RowLanding(spark, new_dir(spark, "landing"), T.StructType.fromDDL("value STRING"), "text")
     counts = word_count(landing.stream(), "value").orderBy(F.desc("cnt"))
     with pytest.raises(AnalysisException):
-        run_step(counts, "ordered", MemorySink("ordered"), "update")
+        run_step(counts, "ordered", MemorySink(), "update")
     landing.add_rows([("b a b",)])
-    handle = run_step(counts, "ordered", MemorySink("ordered"), "complete", AVAILABLE_NOW)
+    handle = run_step(counts, "ordered", MemorySink(), "complete", AVAILABLE_NOW)
     handle.wait()
     assert [tuple(r) for r in handle.table().collect()] == [("b", 2), ("a", 1)]
 
@@ -274,7 +274,7 @@ def test_restart_takes_only_new_rows(spark):
 
 def test_live_table_and_snapshot(spark):
     landing = RowLanding(spark, new_dir(spark, "landing"), NUMBERS)
-    handle = run_step(landing.stream(), "live", MemorySink("live"))
+    handle = run_step(landing.stream(), "live", MemorySink())
     try:
         landing.add_row((1,))
         handle.process_all()
@@ -359,7 +359,7 @@ def test_failure_reaches_the_caller(spark):
 def test_modes_are_checked(spark):
     landing = RowLanding(spark, new_dir(spark, "landing"), NUMBERS)
     with pytest.raises(ValueError, match="mode"):
-        run_step(landing.stream(), "m", MemorySink("m"), mode="replace")
+        run_step(landing.stream(), "m", MemorySink(), mode="replace")
     with pytest.raises(ValueError, match="two versions"):
         CompleteSink("somewhere", NUMBERS, versions=1)
 
