@@ -85,8 +85,8 @@ class StepHandle:
         ``spark.sql.streaming.numRecentProgressUpdates`` reports; once it may have dropped one, this raises.
         """
         kept = int(self.spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
-        if len(self.query.recentProgress) >= kept:
-            raise RuntimeError(f"more than {kept} reports; raise spark.sql.streaming.numRecentProgressUpdates")
+        if len(self.query.recentProgress) >= kept - 1:  # Spark makes room before it adds one
+            raise RuntimeError(f"reports may have been dropped; raise spark.sql.streaming.numRecentProgressUpdates")
         rows = []
         for report in self.query.recentProgress:
             dropped = sum(s.numRowsDroppedByWatermark for s in report.stateOperators)

@@ -71,7 +71,7 @@ class PreviousSink(Sink):
             if batch_id % _FOLD == 0:
                 last = last.unionByName(state)
             first, *rest = self.order_by
-            last = latest_by_key(last, self.keys, first, rest)
+            last = latest_by_key(last, self.keys, first, rest or [first])
             _sized(last).write.mode("overwrite").parquet(f"{self.path}/state/{BATCH_ID}={batch_id}")
         finally:
             rows.unpersist()
@@ -85,7 +85,7 @@ class PreviousSink(Sink):
         parts = [i for i in committed_parts(spark, path, BATCH_ID) if whole <= i < batch_id]
         log = _read_parts(spark, path, schema, parts).drop(BATCH_ID)
         first, *rest = self.order_by
-        return latest_by_key(log, self.keys, first, rest)
+        return latest_by_key(log, self.keys, first, rest or [first])
 
     def _of_keys(self, state, rows):
         """Those of the state whose key the batch has; structs compare with NULL equal to NULL."""
