@@ -31,6 +31,7 @@ END_ID = 1
 BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
 WORDS_KEPT = 300_000  # in each lot of the cache of a Python worker; about 60 MB
 _TEXTS_AT_ONCE = 64
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
 _BLOCKS = (
     "part int, block int, base bigint, id_bytes int, doc_ids array<bigint>, "
     "count int, limit bigint, width int, low binary, high binary, samples binary, ids binary"
@@ -39,11 +40,11 @@ _READ = "doc_id bigint, part int, start bigint, n_tokens bigint, ids_crc32 bigin
 
 
 class TextEncoder:
-    """Ids of whole texts as bytes, for a vocabulary whose tokenizer drops white space.
+    """Ids of whole texts as bytes, for a vocabulary whose tokenizer drops white space and case.
 
-    Such a tokenizer never looks past white space, so each word is encoded once by the
-    library and remembered. Words are cut at ASCII white space only; other white space
-    stays in them for the library.
+    Such a tokenizer never looks past white space, and cuts letters from signs. So each word is encoded
+    once by the library and remembered, ASCII capitals as small letters and signs at its end apart.
+    Words are cut at ASCII white space only; other white space stays in them for the library.
     """
 
     def __init__(self, path: str):
@@ -52,36 +53,44 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.id_bytes = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.words = Recent(WORDS_KEPT, None)
+        self.words = Recent(WORDS_KEPT, lambda word: self._library([word])[word])
 
     def encode(self, texts: list[bytes], end: int | None = END_ID) -> list[bytes]:
         """Ids of each text, in little-endian integers of ``id_bytes``, each followed by ``end``."""
         last = b"" if end is None else end.to_bytes(self.id_bytes, "little")
         cut = [text.split() for text in texts]  # of bytes: at ASCII white space
-        words = [word for part in cut for word in part]
-        found = list(map(self.words.get, words))
-        new = dict.fromkeys(word for word, ids in zip(words, found) if ids is None)
-        if new:
-            self._encode_words(new)
-            found = [new[word] if ids is None else ids for word, ids in zip(words, found)]
-        out, at = [], 0
-        for part in cut:
-            out.append(b"".join(found[at : at + len(part)]) + last)
-            at += len(part)
-        return out
-
-    def _encode_words(self, new: dict) -> None:
-        unknown = []
-        for word in new:
-            new[word] = self.words.before.get(word)
-            if new[word] is None:
-                unknown.append(word)
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
+        unknown = set().union(*cut).difference(self.words)
+        if unknown:
+            self._learn(unknown)
+        ids_of = self.words.__getitem__
+        return [b"".join(map(ids_of, words)) + last for words in cut]
+
+    def _learn(self, unknown: set) -> None:
+        parts = {word: self._parts(word) for word in unknown if word not in self.words.before}
+        known = {}
+        for part in set().union(*parts.values()):
+            known[part] = self.words.get(part) or self.words.before.get(part)
+        known |= self._library([part for part, ids in known.items() if ids is None])
+        for part, ids in known.items():
+            self.words.put(part, ids)
+        for word, own in parts.items():
+            self.words.put(word, b"".join(map(known.__getitem__, own)))
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, ...]:
+        """The word in small letters, and the signs at its end if a letter or digit stands before them."""
+        if b"<|" in word:  # may be a special token
+            return (word,)
+        word = word.lower()  # of bytes: ASCII only
+        body = word.rstrip(_SIGNS)
+        if not body or len(body) == len(word) or not body.decode()[-1].isalnum():
+            return (word,)
+        return body, word[len(body) :]
+
+    def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         kind = f"<u{self.id_bytes}"
-        for word, encoding in zip(unknown, coded):
-            new[word] = np.array(encoding.ids, kind).tobytes() if encoding.ids else b""
-        for word, ids in new.items():
-            self.words.put(word, ids)
+        return {word: np.array(encoding.ids, kind).tobytes() for word, encoding in zip(words, coded)}
 
 
 def _write_part(path: str, block_ids: int, end: int | None):
