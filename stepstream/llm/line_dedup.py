@@ -64,8 +64,8 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text")
     """
     found = settled(repeated_lines(docs, id, text))
     doc = F.struct(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"))
-    own = docs.select(F.struct("*").alias("_row"), doc.alias("_doc"), F.split(text, "\n").alias("_lines"))
-    own = own.join(found.hint("shuffle_hash"), "_doc", "left")
+    own = docs.select(F.struct("*").alias("_row"), doc.alias("_doc")).join(found.hint("shuffle_hash"), "_doc", "left")
+    own = own.withColumn("_lines", F.split(F.col("_row")[text], "\n"))
     kept = F.filter("_lines", lambda _, i: ~F.array_contains("repeated", i))
     rest = F.when(F.col("repeated").isNull(), F.col("_row")[text]).otherwise(F.array_join(kept, "\n"))
     removed = F.when(F.col("repeated").isNull(), 0).otherwise(F.size("repeated")).cast("bigint")
