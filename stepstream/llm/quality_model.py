@@ -25,7 +25,7 @@ RANK = 8
 SAMPLE = 12_000  # labelled documents that the model is fitted on at most
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
-EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.01, 1e-4
+STEPS, BATCH, RATE, DECAY = 400, 256, 0.01, 1e-4
 SEED = 42
 _SYMBOLS = b"#*$%&|<>"
 _CLASSES = (
@@ -48,8 +48,8 @@ def features(text: bytes | None, n_chars: float | None) -> tuple[np.ndarray, np.
     text = text or b""
     words = text.split()
     n, size = len(words), max(len(text), 1)
-    slots = np.fromiter(map(zlib.crc32, words), np.uint32, n) % WORD_SLOTS
-    slots, times = np.unique(slots, return_counts=True)
+    hashes = np.fromiter(map(zlib.crc32, words), np.uint32, n)
+    slots, times = np.unique(hashes % WORD_SLOTS, return_counts=True)
     values = 1.0 + np.log(times) if n else np.zeros(0)
     values /= np.sqrt((values**2).sum()) if n else 1.0
     lines = text.split(b"\n")
@@ -59,7 +59,7 @@ def features(text: bytes | None, n_chars: float | None) -> tuple[np.ndarray, np.
         np.log1p(n_chars if n_chars is not None and n_chars > 0 else 0) / 12,
         len(text.translate(None, _SPACE)) / max(n, 1) / 10,
         len(slots) / max(n, 1),
-        sum(a == b for a, b in zip(words, words[1:])) / max(n, 1),
+        (hashes[1:] == hashes[:-1]).sum() / max(n, 1),
         1 - len(set(lines)) / len(lines),
         1.0 if n < 50 else 0.0,
         *(min(1.0, 4 * share) for share in shares),
@@ -76,22 +76,21 @@ class Machine:
 
     def logits(self, slots: np.ndarray, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """``starts`` is where each text's features begin; each has some."""
-        parts = self.factors[slots] * values[:, None]
-        sums = np.add.reduceat(parts, starts)
-        squares = np.add.reduceat((parts**2).sum(axis=1), starts)
+        sums = np.add.reduceat(self.factors[slots] * values[:, None], starts)
+        squares = np.add.reduceat((self.factors**2).sum(axis=1)[slots] * values**2, starts)
         linear = np.add.reduceat(self.weights[slots] * values, starts)
         return self.weights[-1] + linear + 0.5 * ((sums**2).sum(axis=1) - squares)
 
 
 def fit(slots: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray) -> Machine:
-    """Minimise the logistic loss by Adam steps over small batches, both classes weighing alike."""
+    """Minimise the logistic loss by about ``STEPS`` Adam steps over small batches, both classes weighing alike."""
     rng = np.random.default_rng(SEED)
     machine = Machine(np.zeros(FEATURES + 1), rng.normal(0, 0.01, (FEATURES, RANK)))
     share = min(max(labels.mean(), 0.01), 0.99) if len(labels) else 0.5
     balance = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))
     moments = [np.zeros_like(a) for a in (machine.weights, machine.weights, machine.factors, machine.factors)]
     step = 0
-    for _ in range(EPOCHS):
+    while step < STEPS and len(labels):
         order = rng.permutation(len(labels))
         for i in range(0, len(order), BATCH):
             chosen, step = order[i : i + BATCH], step + 1
