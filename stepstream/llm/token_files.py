@@ -32,6 +32,7 @@ BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
 WORDS_KEPT = 300_000  # in each lot of the cache of a Python worker; about 60 MB
 _TEXTS_AT_ONCE = 64
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
+_MARK_LEADS = (b"\xcc", b"\xcd")  # first bytes of U+0300 to U+037F, among them all marks that compose with an ASCII character
 _BLOCKS = (
     "part int, block int, base bigint, id_bytes int, doc_ids array<bigint>, "
     "count int, limit bigint, width int, low binary, high binary, samples binary, ids binary"
@@ -43,7 +44,8 @@ class TextEncoder:
     """Ids of whole texts as bytes, for a vocabulary whose tokenizer drops white space and case.
 
     Such a tokenizer never looks past white space, and cuts letters from signs. So each word is encoded
-    once by the library and remembered, ASCII capitals as small letters and signs at its end apart.
+    once by the library and remembered, ASCII capitals as small letters and signs at its end apart. A word with
+    combining marks is left whole: it is composed before it is lower-cased, and some capitals have no composed form.
     Words are cut at ASCII white space only; other white space stays in them for the library.
     """
 
@@ -79,7 +81,7 @@ class TextEncoder:
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, ...]:
         """The word in small letters, and the signs at its end if a letter or digit stands before them."""
-        if b"<|" in word:  # may be a special token
+        if b"<|" in word or any(lead in word for lead in _MARK_LEADS):  # may be a special token, or compose otherwise
             return (word,)
         word = word.lower()  # of bytes: ASCII only
         body = word.rstrip(_SIGNS)

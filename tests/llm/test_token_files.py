@@ -1,3 +1,5 @@
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -44,6 +46,21 @@ def test_ids_equal_the_library(library, text):
     assert found.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c", "xH\u0331y.", "A\u0323J\u030c)", "<\u0338", "a=\u0338"])
+def test_capitals_with_marks(library, text):
+    found = np.frombuffer(TextEncoder(PATH).encode([text.encode()], None)[0], "<u2")
+    assert found.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_no_other_mark_composes_with_ascii():
+    marks = range(0x300, 0x380)
+    for char in map(chr, {*range(128, sys.maxunicode + 1)} - {*marks, *range(0xD800, 0xE000)}):
+        whole = unicodedata.decomposition(char).split()
+        if len(whole) == 2 and not whole[0].startswith("<") and int(whole[0], 16) < 128:
+            assert int(whole[1], 16) in marks
+        assert ord(unicodedata.normalize("NFD", char)[0]) not in marks
+
+
 def expected(library, rows):
     """By rising id, NULL first; rows of one id in the order of their start."""
     out = []
