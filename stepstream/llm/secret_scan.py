@@ -1,6 +1,7 @@
 """Secrets in texts: three known forms, and tokens that a battery of randomness tests picks out.
 
-A candidate is a run of at least 20 characters that keys are written in. Its encoding is the smallest
+A candidate is a run of at least 20 characters that keys are written in, or a part of one between signs.
+Its encoding is the smallest
 alphabet that has all of them. Three tests ask whether it could be random in that
 encoding: chi-squared for even use of the alphabet, the number of runs above and below
 the median, and the serial correlation. What fails one of them is no secret.
@@ -30,7 +31,10 @@ ASSIGN_LEAST = 6  # characters of the value
 BASE = ("assign", "access", "hex")
 RANDOM = "random"
 LEAST = 20  # characters of a candidate
-CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}=*"  # '=' is padding, or stands between a name and its value
+# A run may also be names and a key. Its parts are tested as well: those between all signs, those between
+# '/' (with '_' and '-'), and those between '_', '-' (with '+' and '/').
+PARTS = (rf"[A-Za-z0-9]{{{LEAST},}}", rf"[A-Za-z0-9_-]{{{LEAST},}}", rf"[A-Za-z0-9+/]{{{LEAST},}}=*")
 # Encodings by size: a pattern of their tokens without padding, and how many symbols they have.
 ENCODINGS = (
     ("[0-9]+", 10),
@@ -73,6 +77,33 @@ def _base_spans(text: Column) -> list[Column]:
     return [_named(assign, 0), _named(_matches(text, ACCESS), 1), _named(_matches(text, HEX), 2)]
 
 
+def _candidates(text: Column) -> Column:
+    """Runs and their parts, each once."""
+    runs = _matches(text, CANDIDATE)
+
+    def parts(pattern):
+        def of_run(run):
+            def moved(part):
+                start, end = (run["start"] + part[name] for name in ("start", "end"))
+                return F.struct(start.alias("start"), end.alias("end"), part["found"].alias("found"))
+
+            return F.transform(_matches(run["found"], pattern), moved)
+
+        return F.flatten(F.transform(signed, of_run))
+
+    signed = F.filter(runs, lambda run: F.regexp_like(run["found"], F.lit("[+/_-]")))
+    return F.array_distinct(F.concat(runs, *map(parts, PARTS)))
+
+
+def _widest(spans: Column) -> Column:
+    """Without those that lie in another."""
+
+    def within(a, b):
+        return (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & ((b["end"] - b["start"]) > (a["end"] - a["start"]))
+
+    return F.filter(spans, lambda a: ~F.exists(spans, lambda b: within(a, b)))
+
+
 def _named(matches: Column, kind: int) -> Column:
     def span(match):
         return F.struct(match["start"].alias("start"), F.lit(kind).alias("kind"), match["end"].alias("end"))
@@ -190,7 +221,7 @@ def scan_secrets(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
         F.monotonically_increasing_id().alias("_row"),  # settled with the rows
         "_keep",
         F.array_sort(F.concat(*_base_spans(F.col("_text")))).alias("base"),
-        _matches(F.col("_text"), CANDIDATE).alias("candidates"),
+        _candidates(F.col("_text")).alias("candidates"),
     )
     found = settled(found)
     alone = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
@@ -204,7 +235,7 @@ def scan_secrets(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
         least = F.when(F.col("length_class") == length_class, cut).otherwise(least)
     picked = tested.where(F.col("looks_random") & (F.col("unlike_text") >= least))
     span = F.struct("start", F.lit(len(BASE)).alias("kind"), "end")
-    picked = picked.groupBy("_row").agg(F.collect_list(span).alias("picked"))
+    picked = picked.groupBy("_row").agg(_widest(F.collect_list(span)).alias("picked"))
     spans = F.when(F.col("picked").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "picked")))
     return found.join(picked, "_row", "left").select("_keep.*", "base", spans.alias("spans"))
 

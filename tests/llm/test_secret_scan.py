@@ -99,6 +99,21 @@ def test_random_tokens_are_found_and_text_is_not(make_docs, prose):
             assert planted[r["doc_id"]][s["start"] : s["end"]] == keys(r["doc_id"], 30)
 
 
+def test_keys_glued_to_names_and_paths_are_found(make_docs, prose):
+    rng = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = ["aws_secret_access_key=", "client_credential=", "connection_string_key=", "/services/hooks/incoming/", "db_"]
+    planted, least = {}, {}
+    for i in range(100):
+        key, name = "".join(rng.choices(alphabet, k=40)), names[i % len(names)]
+        planted[i] = f"{prose(10, i)} {name}{key} {prose(10, i + 200)}"
+        least[i] = (planted[i].index(key), planted[i].index(key) + len(key))
+    docs = make_docs([*planted.items()])
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == 3] for r in S.scan_secrets(docs, "doc_id").collect()}
+    missed = [i for i, (a, b) in least.items() if not any(s["start"] <= a and b <= s["end"] for s in found[i])]
+    assert len(missed) <= 2, [planted[i] for i in missed]
+
+
 def test_query_columns(spark, tmp_path, make_docs):
     from stepstream.llm.queries import QUERIES
 
