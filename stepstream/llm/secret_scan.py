@@ -53,6 +53,7 @@ TEXT_SWITCH = 0.12  # chance that the kind of character changes within a run of
 DISCOVERY_RATE = 0.01
 _BINS = 10  # per standard deviation
 _MOST = 400  # the last bin
+_FEWEST = -1  # the first bin, of all scores below 0: none of them can pass
 _MARK = "\x01"
 
 
@@ -191,6 +192,10 @@ def _length_class(length: Column) -> Column:
     return F.floor(2 * F.log2(length / F.lit(float(LEAST)))).cast("int")
 
 
+def _score_bin(score: Column) -> Column:
+    return F.greatest(F.least(F.floor(score * _BINS), F.lit(_MOST)), F.lit(_FEWEST))
+
+
 def discovery_cuts(counts, rate: float = DISCOVERY_RATE) -> dict[int, float]:
     """The least score to report for each length class, from ``(class, bin, candidates)``.
 
@@ -228,8 +233,7 @@ def scan_secrets(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     tokens = found.select("_row", F.explode(alone).alias("c"))
     tokens = tokens.select("_row", "c.start", "c.end", F.col("c.found").alias("token"))
     tested = settled(_tested(tokens).drop("token").withColumn("length_class", _length_class(F.col("length"))))
-    score_bin = F.least(F.floor(F.col("unlike_text") * _BINS), F.lit(_MOST))
-    counts = tested.groupBy("length_class", score_bin.alias("score_bin")).count().collect()  # a few thousand rows at most
+    counts = tested.groupBy("length_class", _score_bin(F.col("unlike_text")).alias("score_bin")).count().collect()  # a few thousand rows at most
     least = F.lit(None).cast("double")
     for length_class, cut in discovery_cuts([tuple(c) for c in counts]).items():
         least = F.when(F.col("length_class") == length_class, cut).otherwise(least)

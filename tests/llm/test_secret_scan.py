@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from stepstream.llm import secret_scan as S
 
@@ -87,6 +88,12 @@ def test_false_discoveries_are_cut_by_length():
     assert cuts == {1: 3.0, 3: 6.0}
 
 
+def test_bins_are_bounded(spark):
+    scores = [(-1e6,), (-900.0,), (-0.01,), (0.0,), (3.05,), (1e6,)]
+    found = spark.createDataFrame(scores, "s double").select(S._score_bin(F.col("s"))).collect()
+    assert [r[0] for r in found] == [-1, -1, -1, 0, 30, 400]
+
+
 def test_random_tokens_are_found_and_text_is_not(make_docs, prose):
     rng = random.Random(2)
     planted = {i: f"{prose(30, i)} {keys(i, 30)} {prose(30, i + 99)}" for i in range(10)}
