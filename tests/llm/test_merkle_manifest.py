@@ -1,0 +1,105 @@
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from stepstream.llm.merkle_manifest import FIELDS, fold, manifest, proof_digest, row_digest
+from stepstream.llm.queries import merkle_manifest
+
+DOCS = "doc_id bigint, source string, lang string, n_chars bigint, text string"
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_of(row):
+    return h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row])
+
+
+def grown(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([h(*last[i : i + 3]) for i in range(0, len(last), 3)])
+    return levels
+
+
+def beside(levels, at):
+    steps = []
+    for level in levels[:-1]:
+        run = at // 3 * 3
+        steps.append((level[run:at], level[at + 1 : run + 3]))
+        at //= 3
+    return steps
+
+
+def plain(rows):
+    """``doc_id, leaf, subroot, root, digest of the proof`` and the steps."""
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    own = {s: sorted((r for r in rows if r[1] == s), key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r))) for s in sources}
+    trees = [grown([leaf_of(r) for r in own[s]]) for s in sources]
+    top = grown([t[-1][0] for t in trees])
+    for tree, (s, members) in enumerate(own.items()):
+        for i, row in enumerate(members):
+            steps = beside(trees[tree], i) + beside(top, tree)
+            yield row, leaf_of(row), trees[tree][-1][0], top[-1][0], steps
+
+
+def folded(leaf, steps):
+    for left, right in steps:
+        leaf = h(*left, leaf, *right)
+    return leaf
+
+
+def rows_of(*counts, names="zyxwvu"):
+    return [(100 * k + i, names[k], "en", i, f"text {i}\nof {k}") for k, n in enumerate(counts) for i in range(n)]
+
+
+AWKWARD = [
+    (None, None, None, None, None),
+    (None, None, "en", 1, ""),
+    (1, "", "en", 0, ""),
+    (2, "é", "xx", 3, "a\nb\n"),
+    (2, "é", "xx", 3, "a\nb\n"),
+    (2, "é", "xx", 3, "other"),
+    (3, "\U0001f600", "en", 5, "line\n" * 30_000),
+    (4, "￮", "en", 5, "-"),
+    (-5, "é", "en", -1, "1:-"),
+]
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [rows_of(1), rows_of(7), rows_of(1, 1), rows_of(1, 30, 3, 4, 9, 2), rows_of(2, 5) + AWKWARD, []],
+    ids=["one", "one source", "lone leaves", "uneven", "awkward", "empty"],
+)
+def test_equals_plain(spark, rows):
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("own") for c in ("tree", "at", "hash", "node")})
+    found = manifest(docs.repartition(3), *FIELDS)
+    found = found.select(*FIELDS, "leaf", "subroot", "root", proof_digest(F.col("path")), fold(F.col("leaf"), F.col("path")))
+    expected = []
+    for row, leaf, subroot, root, steps in plain(rows):
+        assert folded(leaf, steps) == root
+        expected.append((*row, leaf, subroot, root, h(*[d for left, right in steps for d in left + right]), root))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_query_tells_tampered_rows(spark, tmp_path):
+    rows = rows_of(20, 3) + AWKWARD
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    found = merkle_manifest(spark, str(tmp_path)).collect()
+    expected = []
+    for row, leaf, _, root, steps in plain(rows):
+        even = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0
+        text = row[4].replace("\n", "") if even and row[4] is not None else row[4]
+        again = folded(leaf_of((*row[:4], text)), steps)
+        expected.append((row[0], leaf, again, again == root))
+    assert {e[3] for e in expected} == {True, False}
+    assert sorted([(r["doc_id"], r["leaf"], r["folded_root"], r["verified"]) for r in found], key=repr) == sorted(expected, key=repr)
+
+
+def test_row_digest_keeps_fields_apart(spark):
+    row = spark.range(1).select(row_digest(F.lit("a"), F.lit("bc")).alias("x"), row_digest(F.lit("ab"), F.lit("c")).alias("y")).first()
+    assert row["x"] != row["y"]
