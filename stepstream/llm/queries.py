@@ -13,6 +13,7 @@ from stepstream.llm.quality_model import score_quality
 from stepstream.llm.quality_rules import judge
 from stepstream.llm.secret_scan import BASE, scan_secrets, spans_as_text
 from stepstream.llm.simhash_dedup import hex_fingerprint, near_duplicates
+from stepstream.llm.suffix_dedup import drop_repeated_strings
 from stepstream.llm.token_count import count_tokens
 from stepstream.llm.token_files import token_table
 from stepstream.llm.url_filter import filter_urls
@@ -76,6 +77,17 @@ def token_counts(spark, folder):
     return count_tokens(read_table(spark, folder, "documents"), "doc_id")
 
 
+def suffix_dedup(spark, folder):
+    left = drop_repeated_strings(read_table(spark, folder, "documents"), "doc_id")
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("starts").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def hard_negatives(spark, folder):
     """One vector in seven has the label after its own, so anchors have negatives that come close."""
     vectors = read_table(spark, folder, "embeddings")
@@ -113,6 +125,7 @@ QUERIES = {
     "op8_secret_scan": secret_scan,
     "op9_line_dedup": line_dedup,
     "op10_token_counts": token_counts,
+    "op11_suffix_dedup": suffix_dedup,
     "op12_hard_negatives": hard_negatives,
     "op13_merkle_manifest": merkle_manifest,
 }

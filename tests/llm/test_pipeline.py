@@ -13,7 +13,7 @@ from stepstream.llm.queries import ORACLES, QUERIES
 
 def test_stages():
     assert [name.split("_")[0] for name, _ in corpus_pipeline.STAGES] == ["quality", "near", "decontamination", "source", "token"]
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
