@@ -52,6 +52,10 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _numbered(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a running ``_at``; and by group and ``_part`` the first ``_at``, how many rows are there, and ``before`` in the group.
 
@@ -76,11 +80,13 @@ def _grow(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """From ``tree, at, n, hash``: for each level the links of its nodes to their parents, and the roots ``tree, hash``."""
     most = leaves.agg(F.max("n")).first()[0] or 0
     links, roots, level, nodes = [], [leaves.where("n = 1")], 0, leaves
+    partitions = _partitions(leaves)
     while most > 1:
         run = F.floor(F.col("at") / ARITY).alias("run")
         child = F.struct("at", "hash")
         runs = nodes.where("n > 1").groupBy("tree", "n", run).agg(F.array_sort(F.collect_list(child)).alias("children"))
-        runs = settled(runs)
+        partitions = max(1, partitions // ARITY)  # a level has a third of the rows of the one below
+        runs = settled(runs.coalesce(partitions))
         fewer = F.ceil(F.col("n") / ARITY)
 
         def step(child, i):
@@ -122,7 +128,7 @@ def _to_root(links: list[DataFrame], n_trees: int, spark) -> DataFrame:
         at_root = F.col("ancestor.tree").eqNullSafe(_TOP) & F.col("ancestor.at").eqNullSafe(root_at)
         moved = paths.where(~at_root).join(inner, "ancestor")
         moved = moved.select("node", F.col("further").alias("ancestor"), F.concat("segment", "more").alias("segment"))
-        paths, reach = settled(moved.unionByName(paths.where(at_root))), 2 * reach
+        paths, reach = settled(moved.unionByName(paths.where(at_root)).coalesce(_partitions(moved))), 2 * reach
     return paths.select("node", "segment")
 
 
