@@ -24,7 +24,7 @@ def in_worker(make: Callable, *key):
 class Recent(dict):
     """Remembers ``compute(key)``; at ``most`` keys it starts anew, and takes keys that come back from the last lot."""
 
-    def __init__(self, most: int, compute: Callable):
+    def __init__(self, most: int, compute: Callable | None = None):
         super().__init__()
         self.most = most
         self.compute = compute
@@ -42,3 +42,10 @@ class Recent(dict):
             self.before = dict(self)
             self.clear()
         self[key] = value
+
+    def put_all(self, items) -> None:
+        """Remembers all ``items``; they may be a lot more than ``most``, until the next ones come."""
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self.update(items)

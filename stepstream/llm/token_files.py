@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,11 @@ from stepstream.workspace import new_dir
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
-WORDS_KEPT = 300_000  # in each lot of the cache of a Python worker; about 60 MB
-_TEXTS_AT_ONCE = 64
-_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
-_MARK_LEADS = (b"\xcc", b"\xcd")  # first bytes of U+0300 to U+037F, among them all marks that compose with an ASCII character
+WORDS_KEPT = 400_000  # in each lot of the cache of a Python worker; about 80 MB
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
+_MARK, _MARKED = "\x01", 256  # words at a time
+_BYTES_AT_ONCE = 1 << 24  # of texts whose distinct words are found together
+_WORDS_AT_ONCE = 1 << 18
 _BLOCKS = (
     "part int, block int, base bigint, id_bytes int, doc_ids array<bigint>, "
     "count int, limit bigint, width int, low binary, high binary, samples binary, ids binary"
@@ -41,12 +43,12 @@ _READ = "doc_id bigint, part int, start bigint, n_tokens bigint, ids_crc32 bigin
 
 
 class TextEncoder:
-    """Ids of whole texts as bytes, for a vocabulary whose tokenizer drops white space and case.
+    """Ids of whole texts as bytes, for a vocabulary whose tokenizer never looks past white space, and drops it.
 
-    Such a tokenizer never looks past white space, and cuts letters from signs. So each word is encoded
-    once by the library and remembered, ASCII capitals as small letters and signs at its end apart. A word with
-    combining marks is left whole: it is composed before it is lower-cased, and some capitals have no composed form.
-    Words are cut at ASCII white space only; other white space stays in them for the library.
+    So texts are cut at ASCII white space, and each distinct word of a lot of texts is encoded once by the library and
+    remembered. Other white space stays in the words for the library. Of words that are ASCII throughout, capitals are taken as
+    small letters and signs at the end apart, as the tokenizer does; any other word is left to it as it stands. The library gets many
+    words at a time with a mark between them.
     """
 
     def __init__(self, path: str):
@@ -55,44 +57,82 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.id_bytes = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.words = Recent(WORDS_KEPT, lambda word: self._library([word])[word])
+        self.words = Recent(WORDS_KEPT)
 
-    def encode(self, texts: list[bytes], end: int | None = END_ID) -> list[bytes]:
+    def encode(self, texts: pa.StringArray, end: int | None = END_ID) -> list[bytes]:
         """Ids of each text, in little-endian integers of ``id_bytes``, each followed by ``end``."""
         last = b"" if end is None else end.to_bytes(self.id_bytes, "little")
-        cut = [text.split() for text in texts]  # of bytes: at ASCII white space
-        unknown = set().union(*cut).difference(self.words)
-        if unknown:
-            self._learn(unknown)
-        ids_of = self.words.__getitem__
-        return [b"".join(map(ids_of, words)) + last for words in cut]
-
-    def _learn(self, unknown: set) -> None:
-        parts = {word: self._parts(word) for word in unknown if word not in self.words.before}
-        known = {}
-        for part in set().union(*parts.values()):
-            known[part] = self.words.get(part) or self.words.before.get(part)
-        known |= self._library([part for part, ids in known.items() if ids is None])
-        for part, ids in known.items():
-            self.words.put(part, ids)
-        for word, own in parts.items():
-            self.words.put(word, b"".join(map(known.__getitem__, own)))
+        cut = pc.ascii_split_whitespace(texts)
+        words = cut.flatten().dictionary_encode()
+        coded = self._coded(words.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.id_bytes
+        index = words.indices.to_numpy(zero_copy_only=False)
+        ids = _joined(np.frombuffer(b"".join(coded), f"<u{self.id_bytes}"), sizes, index)
+        word_ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+        ends = np.append(0, np.cumsum(sizes[index]))[np.append(0, word_ends)].tolist()
+        return [ids[a:b].tobytes() + last for a, b in zip(ends, ends[1:])]
+
+    def _coded(self, words: list[str]) -> list[bytes]:
+        known, before = self.words.get, self.words.before.get
+        coded = [known(word) or before(word) for word in words]
+        asked = {i: self._parts(words[i]) for i, ids in enumerate(coded) if not ids}
+        parts = {part: known(part) or before(part) for own in asked.values() for part in own}
+        new = [part for part, ids in parts.items() if not ids]
+        parts.update(zip(new, self._library(new)))
+        for i, own in asked.items():
+            coded[i] = b"".join([parts[part] for part in own])
+        self.words.put_all(parts)
+        self.words.put_all(zip(words, coded))
+        return coded
 
     @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, ...]:
-        """The word in small letters, and the signs at its end if a letter or digit stands before them."""
-        if b"<|" in word or any(lead in word for lead in _MARK_LEADS):  # may be a special token, or compose otherwise
+    def _parts(word: str) -> tuple[str, ...]:
+        if not word.isascii() or "<|" in word:  # may compose or change with its case, or be a special token
             return (word,)
-        word = word.lower()  # of bytes: ASCII only
+        word = word.lower()
         body = word.rstrip(_SIGNS)
-        if not body or len(body) == len(word) or not body.decode()[-1].isalnum():
+        if not body or len(body) == len(word) or not body[-1].isalnum():
             return (word,)
         return body, word[len(body) :]
 
-    def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        kind = f"<u{self.id_bytes}"
-        return {word: np.array(encoding.ids, kind).tobytes() for word, encoding in zip(words, coded)}
+    def _library(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. The mark is a pre-token of its own and has one id, which only a word with the mark could have as well."""
+        encode, kind, mark = self.tokenizer.encode_batch_fast, f"<u{self.id_bytes}", f" {_MARK} "
+        found = dict.fromkeys(words)
+        alone = [word for word in words if _MARK in word]
+        for word, encoding in zip(alone, encode(alone, add_special_tokens=False)):
+            found[word] = np.array(encoding.ids, kind).tobytes()
+        rest = [word for word in words if found[word] is None]
+        lots = [rest[i : i + _MARKED] for i in range(0, len(rest), _MARKED)]
+        mark_id = encode([_MARK], add_special_tokens=False)[0].ids[0]
+        for lot, encoding in zip(lots, encode([mark.join(lot) + mark for lot in lots], add_special_tokens=False)):
+            ids = np.array(encoding.ids, kind)
+            coded, ends = ids.tobytes(), (np.flatnonzero(ids == mark_id) * self.id_bytes).tolist()
+            starts = [0, *[end + self.id_bytes for end in ends]]
+            found.update(zip(lot, [coded[a:b] for a, b in zip(starts, ends)]))
+        return list(found.values())
+
+
+def _joined(pool: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` named by ``index``, one after the other; ``sizes`` has the length of each run."""
+    starts, parts = np.cumsum(sizes) - sizes, []
+    for i in range(0, len(index), _WORDS_AT_ONCE):
+        some = index[i : i + _WORDS_AT_ONCE]
+        size = sizes[some]
+        before = np.cumsum(size) - size
+        parts.append(pool[np.repeat(starts[some] - before, size) + np.arange(size.sum())])
+    return np.concatenate(parts) if parts else pool
+
+
+def _lots(texts: pa.StringArray) -> Iterator[tuple[int, pa.StringArray]]:
+    """The texts in lots of some megabytes, each with the place of its first; a longer text is one of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(texts):
+        reached = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, reached + _BYTES_AT_ONCE)))
+        yield begin, texts.slice(begin, end - begin)
+        begin = end
 
 
 def _write_part(path: str, block_ids: int, end: int | None):
@@ -110,10 +150,8 @@ def _write_part(path: str, block_ids: int, end: int | None):
             )
 
         for batch in batches:
-            for i in range(0, batch.num_rows, _TEXTS_AT_ONCE):
-                some = batch.slice(i, _TEXTS_AT_ONCE).to_pydict()
-                texts = [text or b"" for text in some["text"]]
-                for doc_id, ids in zip(some["doc_id"], encoder.encode(texts, end)):
+            for begin, texts in _lots(batch["text"]):
+                for doc_id, ids in zip(batch["doc_id"].slice(begin, len(texts)).to_pylist(), encoder.encode(texts, end)):
                     doc_ids.append(doc_id)
                     coded.append(ids)
                     ends.append(ends[-1] + len(ids) // encoder.id_bytes)
@@ -155,7 +193,7 @@ def write_token_files(
     path = path or public_tokenizers.path(VOCABULARY)
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    rows = rows.select("doc_id", F.col("text").cast("binary").alias("text"))
+    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     blocks = rows.mapInArrow(_write_part(path, block_ids, end), _BLOCKS)
     blocks.write.option("compression", "zstd").parquet(folder)
 
@@ -181,7 +219,7 @@ def _read_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for row in batch.itertuples(index=False):
             bounds = EliasFano(row.count, row.limit, row.width, row.low, row.high, row.samples)
-            ends = np.concatenate([[0], bounds.all()])
+            ends = np.array([0, *map(bounds.select, range(row.count))])
             ids = np.frombuffer(row.ids, f"<u{row.id_bytes}")
             crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1], ends[1:])]
             yield pd.DataFrame(

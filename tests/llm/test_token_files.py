@@ -1,14 +1,16 @@
-import sys
+import random
 import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from stepstream.llm import token_files
 from stepstream.llm.elias_fano import EliasFano
 from stepstream.llm.token_files import TextEncoder, read_token_files, token_table, write_token_files
 
@@ -35,30 +37,42 @@ def test_elias_fano_is_small():
     assert 8 * sum(map(len, (code.low, code.high, code.samples))) < 10_000 * (2.6 + np.log2(700))
 
 
-PARTS = st.sampled_from([" ", "\n", " ", " ", "\x1c", "'s", "12", "<|endoftext|>", "É", "é", "ẞ", "Σας"])
+PARTS = st.sampled_from([" ", "\n", "\u00a0", "\u2003", "\x1c", "'s", "12", "<|endoftext|>", "É", "é", "ẞ", "Σας", "İ", "BELGESİ."])
+
+
+def ids_of(texts):
+    return [np.frombuffer(ids, "<u2").tolist() for ids in TextEncoder(PATH).encode(pa.array(texts, pa.string()), None)]
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(PARTS | st.text(max_size=6), max_size=12).map("".join))
 def test_ids_equal_the_library(library, text):
     text = text.encode("utf-8", "ignore").decode()
-    found = np.frombuffer(TextEncoder(PATH).encode([text.encode()], None)[0], "<u2")
-    assert found.tolist() == library.encode(text, add_special_tokens=False).ids
-
-
-@pytest.mark.parametrize("text", ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c", "xH\u0331y.", "A\u0323J\u030c)", "<\u0338", "a=\u0338"])
-def test_capitals_with_marks(library, text):
-    found = np.frombuffer(TextEncoder(PATH).encode([text.encode()], None)[0], "<u2")
-    assert found.tolist() == library.encode(text, add_special_tokens=False).ids
-
-
-def test_no_other_mark_composes_with_ascii():
-    marks = range(0x300, 0x380)
-    for char in map(chr, {*range(128, sys.maxunicode + 1)} - {*marks, *range(0xD800, 0xE000)}):
-        whole = unicodedata.decomposition(char).split()
-        if len(whole) == 2 and not whole[0].startswith("<") and int(whole[0], 16) < 128:
-            assert int(whole[1], 16) in marks
-        assert ord(unicodedata.normalize("NFD", char)[0]) not in marks
+    assert ids_of([text]) == [library.encode(text, add_special_tokens=False).ids]
+
+
+def test_fuzz_of_changing_characters(library):
+    """Characters that change with case or composition, marks, signs and white space, in any order."""
+    rng = random.Random(5)
+    changing = [c for c in map(chr, range(0x80, 0x20000)) if c.lower() != c or c.upper() != c or unicodedata.decomposition(c)]
+    marks = [c for c in map(chr, range(0x300, 0x3100)) if unicodedata.combining(c)]
+    ascii_ = [chr(i) for i in range(32, 127)]
+    white = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    kinds = (changing, marks, ascii_, ascii_, list("İıſKÅΣςß"), white, ["<|startoftext|>", "'ll", ""])
+    texts = ["".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(1, 9))) for _ in range(50_000)]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert ids_of(texts) == expected
+
+
+def test_a_small_memory_and_long_texts(library, prose, monkeypatch):
+    for name, value in {"WORDS_KEPT": 20, "_WORDS_AT_ONCE": 7, "_BYTES_AT_ONCE": 500}.items():
+        monkeypatch.setattr(token_files, name, value)
+    texts = [prose(300, i % 4) for i in range(9)] + ["", " ", "one"]
+    encoder, found = TextEncoder(PATH), []
+    for begin, lot in token_files._lots(pa.array(texts)):
+        assert begin == len(found)
+        found += encoder.encode(lot, 1)
+    assert found == [np.array([*e.ids, 1], "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
 def expected(library, rows):
