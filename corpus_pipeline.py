@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from stepstream.llm.decontaminate import drop_contaminated
 from stepstream.llm.mixing import take_mix
 from stepstream.llm.quality_rules import keep_good
-from stepstream.llm.shingle_dedup import similar_texts
 from stepstream.llm.simhash_dedup import drop_near_duplicates
 from stepstream.llm.token_files import token_table
 from stepstream.sources import read_table
@@ -25,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares at least 0.8 of its shingles of five words."""
-    return drop_near_duplicates(docs, groups=similar_texts)
+    """One document of each group of fingerprints within four bits, over shingles of four words."""
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
