@@ -137,15 +137,14 @@ def near_duplicates(docs: DataFrame, *keep: str, id: str = "doc_id", text: str =
     return prints.join(placed.join(smallest, "component").select("fp", "component", "component_id"), "fp")
 
 
-def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", groups=near_duplicates) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that with the smallest id.
 
-    ``groups`` adds ``component`` to each row, by fingerprints unless told otherwise.
     Among rows with that id the smallest hash of the text decides, and repeated rows
     are one. A group whose ids are all NULL keeps one row as well.
     """
     itself = F.struct(F.col(id), F.xxhash64(text).alias("text_hash"))
-    grouped = groups(docs.select(id, text, itself.alias("_itself")), "_itself", id=id, text=text)
+    grouped = near_duplicates(docs.select(id, text, itself.alias("_itself")), "_itself", id=id, text=text)
     first = F.min(F.struct(F.col(id).isNull(), F.col("_itself"))).alias("first")
     kept = grouped.groupBy("component").agg(first).select("first._itself")
     own = docs.select(F.struct("*").alias("_row"), itself.alias("_itself"))  # structs compare with NULL equal to NULL
