@@ -66,7 +66,16 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text")
     doc = F.struct(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"))
     own = docs.select(F.struct("*").alias("_row"), doc.alias("_doc")).join(found.hint("shuffle_hash"), "_doc", "left")
     own = own.withColumn("_lines", F.split(F.col("_row")[text], "\n"))
-    kept = F.filter("_lines", lambda _, i: ~F.array_contains("repeated", i))
+    own = own.withColumns(
+        {
+            "_starts": F.filter("repeated", lambda at, i: ~F.get("repeated", i - 1).eqNullSafe(at - 1)),
+            "_ends": F.filter("repeated", lambda at, i: ~F.get("repeated", i + 1).eqNullSafe(at + 1)),
+        }
+    )
+    # What lies between the runs of repeated lines, each cut out once, so a long text takes time in proportion.
+    after = F.concat(F.array(F.lit(0)), F.transform("_ends", lambda at: at + 1))
+    upto = F.concat("_starts", F.array(F.size("_lines")))
+    kept = F.flatten(F.zip_with(after, upto, lambda a, b: F.slice("_lines", a + 1, b - a)))
     rest = F.when(F.col("repeated").isNull(), F.col("_row")[text]).otherwise(F.array_join(kept, "\n"))
     removed = F.when(F.col("repeated").isNull(), 0).otherwise(F.size("repeated")).cast("bigint")
     return own.select(

@@ -1,4 +1,5 @@
 import random
+import time
 
 from stepstream.llm.line_dedup import drop_repeated_lines
 
@@ -45,5 +46,16 @@ def test_ids_that_name_several_texts(make_docs):
     assert sorted(r["n_removed"] for r in found) == [0, 3]
 
 
+def test_a_text_of_many_lines(make_docs):
+    """Half a million lines, half of them repeated, in runs of one passage each."""
+    lines = [f"{i % 5}:{i // 10 if i % 10 < 5 else 'same'}" for i in range(500_000)]
+    begun = time.time()
+    found = drop_repeated_lines(make_docs([(1, "\n".join(lines)), (2, "a\nb\nc")])).where("row.doc_id = 1").first()
+    assert time.time() - begun < 60
+    text, n_lines, n_removed = plain([(1, "\n".join(lines))])[1, "\n".join(lines)]
+    assert (found["row"]["text"], found["n_lines"], found["n_removed"]) == (text, n_lines, n_removed)
+    assert n_removed > 200_000
+
+
 def test_empty_table(make_docs):
     assert drop_repeated_lines(make_docs([(1, "a")]).where("doc_id < 0")).count() == 0
