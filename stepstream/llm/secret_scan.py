@@ -4,22 +4,25 @@ A candidate is a run of at least 20 characters that keys are written in, or a pa
 Its encoding is the smallest
 alphabet that has all of them. Three tests ask whether it could be random in that
 encoding: chi-squared for even use of the alphabet, the number of runs above and below
-the median, and the serial correlation. What fails one of them is no secret.
+the mean, and the serial correlation. The worst of the three, corrected for being the worst, is the candidate's
+p-value. Among candidates of about the same length, over all documents, those are found out as not random that
+hold a false discovery rate (Benjamini-Hochberg) of 0.3 %; they are no secrets.
 
 What could be random could still be an odd word, above all if it is short. So a
 second score says how unlike text it is: how often the kind of character changes, and how rarely
-characters recur, each against what text of that length does. Cuts on this score hold the false
-discovery rate (Benjamini-Hochberg) among candidates of about the same length, over all documents.
+characters recur, each against what text of that length does. Cuts on this score hold a false
+discovery rate of 1 % in the same way.
 
-All of it is expressions of DataFrames. Scores are counted in bins, so only a bounded table of
+All of it is expressions of DataFrames that take time in proportion to a text, or nearly so, however many matches it has. Scores are counted in bins, so only a bounded table of
 counts comes to the driver.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stepstream.llm.tables import settled
@@ -47,7 +50,8 @@ ENCODINGS = (
     ("[A-Za-z0-9+/]+|[A-Za-z0-9_-]+", 64),
 )
 OTHER_SYMBOLS = 66
-RANDOM_TO = 3.29  # standard deviations that random tokens stay within, 999 times in 1000
+TESTS = 3
+RANDOM_LOST = 0.003  # share of random candidates among those found out as not random
 TEXT_COLLISION, TEXT_TRIPLE = 0.066, 0.0055  # chance that two, or three, letters of a text are the same
 TEXT_SWITCH = 0.12  # chance that the kind of character changes within a run of text
 DISCOVERY_RATE = 0.01
@@ -55,65 +59,92 @@ _BINS = 10  # per standard deviation
 _MOST = 400  # the last bin
 _FEWEST = -1  # the first bin, of all scores below 0: none of them can pass
 _MARK = "\x01"
+_TOGETHER = 256  # lengths added up in a row; sums of so many are carried on
+_HALVINGS = 31  # of a search among spans
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(values: Column) -> Column:
+    """Sums of all values before each. Arrays are copied when they grow, so they are grown to a bounded size and joined."""
+
+    def sums(some, first):
+        grown = F.aggregate(some, F.array(first), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        return F.slice(grown, 1, F.size(some))
+
+    def of(values):
+        cuts = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _TOGETHER).cast("int"))
+        blocks = F.transform(cuts, lambda i: F.slice(values, i * _TOGETHER + 1, _TOGETHER))
+        return _let(blocks, joined)
+
+    def joined(blocks):
+        whole = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x))
+        return F.flatten(F.zip_with(blocks, sums(whole, F.lit(0)), sums))
+
+    return _let(values, of)
 
 
 def _matches(text: Column, pattern: str) -> Column:
     """``start, end, found`` of the leftmost matches that do not overlap, in code points. ``text`` is without marks."""
     pieces = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK)
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("out"))
 
-    def add(state, piece, is_match):
-        end = state["at"] + F.length(piece)
-        match = F.struct(state["at"].alias("start"), end.alias("end"), piece.alias("found"))
-        out = F.when(is_match, F.concat(state["out"], F.array(match))).otherwise(state["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+    def cut(pieces):
+        lengths = F.transform(pieces, lambda piece: F.length(piece))
+        placed = F.zip_with(pieces, _running(lengths), lambda piece, at: F.struct(at.alias("start"), (at + F.length(piece)).alias("end"), piece.alias("found")))
+        return F.filter(placed, lambda _, i: i % 2 == 1)
 
-    numbered = F.transform(pieces, lambda piece, i: F.struct(piece.alias("piece"), (i % 2 == 1).alias("is_match")))
-    return F.aggregate(numbered, nothing, lambda s, p: add(s, p["piece"], p["is_match"]))["out"]
+    return _let(pieces, cut)
 
 
 def _base_spans(text: Column) -> list[Column]:
     value = F.regexp_extract  # of a match: the pattern takes the same from it as from the text
     assign = F.filter(_matches(text, ASSIGN), lambda m: F.length(value(m["found"], ASSIGN, 2)) >= ASSIGN_LEAST)
-    return [_named(assign, 0), _named(_matches(text, ACCESS), 1), _named(_matches(text, HEX), 2)]
+    return [_bare(assign), _bare(_matches(text, ACCESS)), _bare(_matches(text, HEX))]
 
 
 def _candidates(text: Column) -> Column:
     """Runs and their parts, each once."""
-    runs = _matches(text, CANDIDATE)
 
-    def parts(pattern):
-        def of_run(run):
+    def with_parts(run):
+        def of(pattern):
             def moved(part):
                 start, end = (run["start"] + part[name] for name in ("start", "end"))
                 return F.struct(start.alias("start"), end.alias("end"), part["found"].alias("found"))
 
             return F.transform(_matches(run["found"], pattern), moved)
 
-        return F.flatten(F.transform(signed, of_run))
+        every = F.array_sort(F.concat(F.array(run), *map(of, PARTS)))
+        once = _let(every, lambda spans: F.filter(spans, lambda span, i: ~F.get(spans, i - 1).eqNullSafe(span)))
+        return F.when(F.regexp_like(run["found"], F.lit("[+/_-]")), once).otherwise(F.array(run))
 
-    signed = F.filter(runs, lambda run: F.regexp_like(run["found"], F.lit("[+/_-]")))
-    return F.array_distinct(F.concat(runs, *map(parts, PARTS)))
+    return F.flatten(F.transform(_matches(text, CANDIDATE), with_parts))
 
 
-def _widest(spans: Column) -> Column:
-    """Without those that lie in another."""
+def _bare(matches: Column) -> Column:
+    return F.transform(matches, lambda match: F.struct(match["start"].alias("start"), match["end"].alias("end")))
 
-    def within(a, b):
-        return (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & ((b["end"] - b["start"]) > (a["end"] - a["start"]))
 
-    return F.filter(spans, lambda a: ~F.exists(spans, lambda b: within(a, b)))
+def _meets(span: Column, spans: Column) -> Column:
+    """Whether a span overlaps one of ``spans``, which are in order and do not overlap: the last that starts before its end tells."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_HALVINGS))])
+    starts_before = lambda n, step: F.get(spans, n + step - 1)["start"] < span["end"]
+    short = F.filter(steps, lambda step: step <= F.size(spans))
+    before = F.aggregate(short, F.lit(0), lambda n, step: F.when(starts_before(n, step), n + step).otherwise(n))
+    return F.coalesce(F.get(spans, before - 1)["end"] > span["start"], F.lit(False))
 
 
-def _named(matches: Column, kind: int) -> Column:
-    def span(match):
-        return F.struct(match["start"].alias("start"), F.lit(kind).alias("kind"), match["end"].alias("end"))
+def _named(spans: Column, kind: int) -> Column:
+    def named(span):
+        return F.struct(span["start"].alias("start"), F.lit(kind).alias("kind"), span["end"].alias("end"))
 
-    return F.transform(matches, span)
+    return F.transform(spans, named)
 
 
 def _tested(candidates: DataFrame) -> DataFrame:
-    """Adds ``length``, ``looks_random`` and ``unlike_text`` (in standard deviations) of the column ``token``.
+    """Adds ``length``, ``misfit`` (of the worst test) and ``unlike_text`` (both in standard deviations) of the column ``token``.
 
     In steps, each of which is used more than once by the next, so Spark keeps it as a column.
     """
@@ -153,7 +184,7 @@ def _tested(candidates: DataFrame) -> DataFrame:
     runs = 1 + 2 * F.col("high") * over(n - F.col("high"), n)
     crossing = over(F.col("crossings") + 1 - runs, F.sqrt(over((runs - 1) * (runs - 2), n - 1)))
     serial = (over("lagged", "spread") + over(F.lit(1.0), n)) * F.sqrt(n)
-    within = (chi <= RANDOM_TO) & (F.abs(crossing) <= RANDOM_TO) & (F.abs(serial) <= RANDOM_TO)
+    worst = F.greatest(chi, F.abs(crossing), F.abs(serial))
     pairs = n * (n - 1) / 2
     triples = 2 * (n - 2) * TEXT_TRIPLE - (2 * n - 3) * TEXT_COLLISION**2
     recur = over(pairs * TEXT_COLLISION - (F.col("squares") - n) / 2, F.sqrt(pairs * (TEXT_COLLISION + triples)))
@@ -163,7 +194,7 @@ def _tested(candidates: DataFrame) -> DataFrame:
     return frame.select(
         *candidates.columns,
         F.length("token").alias("length"),
-        F.coalesce(testable & within, F.lit(False)).alias("looks_random"),
+        F.when(testable, worst).alias("misfit"),
         F.when(testable, (recur + switch) / math.sqrt(2)).otherwise(0.0).alias("unlike_text"),
     )
 
@@ -196,10 +227,11 @@ def _score_bin(score: Column) -> Column:
     return F.greatest(F.least(F.floor(score * _BINS), F.lit(_MOST)), F.lit(_FEWEST))
 
 
-def discovery_cuts(counts, rate: float = DISCOVERY_RATE) -> dict[int, float]:
-    """The least score to report for each length class, from ``(class, bin, candidates)``.
+def discovery_cuts(counts, rate: float = DISCOVERY_RATE, tails: int = 1) -> dict[int, float]:
+    """The least score that is a discovery in each length class, from ``(class, bin, candidates)``.
 
-    The score of a bin's candidates is taken as its lower bound, so the rate is not exceeded.
+    The p-value of a score is the chance of as much in any of so many ``tails`` of the normal distribution. The score of a bin's candidates is taken as its
+    lower bound, so the rate is not exceeded.
     """
     cuts: dict[int, float] = {}
     for length_class in {c for c, _, _ in counts}:
@@ -207,7 +239,7 @@ def discovery_cuts(counts, rate: float = DISCOVERY_RATE) -> dict[int, float]:
         total, seen = sum(n for _, n in own), 0
         for lowest, n in own:
             seen += n
-            if math.erfc(lowest / _BINS / math.sqrt(2)) / 2 * total <= rate * seen:
+            if tails * math.erfc(lowest / _BINS / math.sqrt(2)) / 2 * total <= rate * seen:
                 cuts[length_class] = lowest / _BINS
     return cuts
 
@@ -225,23 +257,38 @@ def scan_secrets(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     found = texts.select(
         F.monotonically_increasing_id().alias("_row"),  # settled with the rows
         "_keep",
-        F.array_sort(F.concat(*_base_spans(F.col("_text")))).alias("base"),
+        F.array(*_base_spans(F.col("_text"))).alias("by_kind"),
         _candidates(F.col("_text")).alias("candidates"),
     )
     found = settled(found)
-    alone = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    known = [F.get("by_kind", kind) for kind in range(len(BASE))]
+    alone = F.filter("candidates", lambda c: ~reduce(Column.__or__, [_meets(c, spans) for spans in known]))
     tokens = found.select("_row", F.explode(alone).alias("c"))
     tokens = tokens.select("_row", "c.start", "c.end", F.col("c.found").alias("token"))
-    tested = settled(_tested(tokens).drop("token").withColumn("length_class", _length_class(F.col("length"))))
-    counts = tested.groupBy("length_class", _score_bin(F.col("unlike_text")).alias("score_bin")).count().collect()  # a few thousand rows at most
-    least = F.lit(None).cast("double")
-    for length_class, cut in discovery_cuts([tuple(c) for c in counts]).items():
-        least = F.when(F.col("length_class") == length_class, cut).otherwise(least)
-    picked = tested.where(F.col("looks_random") & (F.col("unlike_text") >= least))
+    tested = _tested(tokens).drop("token").withColumn("length_class", _length_class(F.col("length")))
+    tested = settled(tested).where("misfit is not null")  # a condition before would repeat the tests
+    misfits = _cuts(tested, "misfit", RANDOM_LOST, 2 * TESTS)
+    texts_end = _cuts(tested, "unlike_text", DISCOVERY_RATE, 1)
+    fits = misfits.isNull() | (_score_bin(F.col("misfit")) < F.round(misfits * _BINS))
+    picked = tested.where(fits & (_score_bin(F.col("unlike_text")) >= F.round(texts_end * _BINS)))
+    # In order of start, the longest first, a span lies in another if one before it reaches as far.
+    before = Window.partitionBy("_row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    picked = picked.withColumn("reach", F.max("end").over(before)).where("reach is null or end > reach")
     span = F.struct("start", F.lit(len(BASE)).alias("kind"), "end")
-    picked = picked.groupBy("_row").agg(_widest(F.collect_list(span)).alias("picked"))
+    picked = picked.groupBy("_row").agg(F.collect_list(span).alias("picked"))
+    base = F.array_sort(F.concat(*[_named(spans, kind) for kind, spans in enumerate(known)])).alias("base")
+    both = found.join(picked, "_row", "left").select("_keep", base, "picked")
     spans = F.when(F.col("picked").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "picked")))
-    return found.join(picked, "_row", "left").select("_keep.*", "base", spans.alias("spans"))
+    return both.select("_keep.*", "base", spans.alias("spans"))
+
+
+def _cuts(tested: DataFrame, score: str, rate: float, tails: int) -> Column:
+    """The cut on a score for the length class of a row; NULL where nothing is a discovery."""
+    counts = tested.groupBy("length_class", _score_bin(F.col(score)).alias("score_bin")).count().collect()  # a few thousand rows at most
+    cut_of = F.lit(None).cast("double")
+    for length_class, cut in discovery_cuts([tuple(c) for c in counts], rate, tails).items():
+        cut_of = F.when(F.col("length_class") == length_class, cut).otherwise(cut_of)
+    return cut_of
 
 
 def spans_as_text(spans: Column) -> Column:
