@@ -153,6 +153,7 @@ ORACLES = {
     """,
     "latest_per_key_stream": _LATEST_PER_KEY,
     "previous_event_stream": _PREVIOUS_BY_USER,
+    "previous_event_global_stream": _previous(""),
     "previous_amount_stream": """
         SELECT event_id, user_id, value,
                lag(value, 1, 0) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_value

@@ -37,6 +37,7 @@ from stepstream.streaming import (
     FileSink,
     PreviousSink,
     UpsertSink,
+    previous_in_state,
     run_step,
 )
 from stepstream.streaming.handle import AVAILABLE_NOW, ROCKSDB_STATE
@@ -276,11 +277,22 @@ def latest_per_key(spark, folder):
 
 
 def previous_event(spark, folder):
+    """What is carried from span to span lies in the state store."""
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts")
+
+    def step(df):
+        return previous_in_state(df, epoch_millis(df, "ts"), ["ts", "event_id"], ["user_id"], name="last_ms")
+
+    rows = in_batches(_spans(events), step, FileSink, conf=ROCKSDB_STATE)[-1].table()
+    return rows.select("event_id", "user_id", epoch_millis(rows, "ts").alias("current_ms"), "last_ms")
+
+
+def previous_event_global(spark, folder):
+    """Without keys: each span is spread over many tasks."""
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts")
 
     def make_sink(path, schema):
-        order, keys = ["ts", "event_id"], ["user_id"]
-        return PreviousSink(path, schema, lambda df: epoch_millis(df, "ts"), order, keys, name="last_ms")
+        return PreviousSink(path, schema, lambda df: epoch_millis(df, "ts"), ["ts", "event_id"], [], name="last_ms")
 
     rows = in_batches(_spans(events), lambda df: df, make_sink)[-1].table()
     return rows.select("event_id", "user_id", epoch_millis(rows, "ts").alias("current_ms"), "last_ms")
@@ -289,26 +301,21 @@ def previous_event(spark, folder):
 def previous_amount(spark, folder):
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
 
-    def make_sink(path, schema):
-        order, keys = ["ts", "event_id"], ["user_id"]
-        return PreviousSink(path, schema, lambda df: F.col("value"), order, keys, name="last_value")
+    def step(df):
+        return previous_in_state(df, F.col("value"), ["ts", "event_id"], ["user_id"], name="last_value")
 
-    rows = in_batches(_spans(events), lambda df: df, make_sink)[-1].table()
+    rows = in_batches(_spans(events), step, FileSink, conf=ROCKSDB_STATE)[-1].table()
     return rows.select("event_id", "user_id", "value", "last_value")
 
 
 def progress(spark, folder):
     events = read_table(spark, folder, "events").select("event_id", "ts")
     runs = in_batches(_spans(events), lambda df: df, FileSink)
-    reports = [run.progress() for run in runs]
-    joined = reports[0]
-    for report in reports[1:]:
-        joined = joined.unionByName(report)
-    return joined.where("num_input_rows > 0").select("batch_id", "num_input_rows")
+    return runs[-1].progress().where("num_input_rows > 0").select("batch_id", "num_input_rows")
 
 
 def live_and_snapshot(spark, folder):
-    """Count a live table and a snapshot of it, both taken after the first of two batches, after the second."""
+    """Count a live table and a snapshot of it, both taken after the first of two batches, after the second. The snapshot copies no rows."""
     events = read_table(spark, folder, "events").select("event_id", "ts")
     batches = _spans(events)
     landing = RowLanding(spark, new_dir(spark, "landing"), events.schema)
@@ -346,6 +353,7 @@ STREAM_QUERIES = {
     "batch_preview": preview_per_batch,
     "latest_per_key_stream": latest_per_key,
     "previous_event_stream": previous_event,
+    "previous_event_global_stream": previous_event_global,
     "previous_amount_stream": previous_amount,
     "stream_progress": progress,
     "live_vs_snapshot": live_and_snapshot,

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from stepstream.functions.time import epoch_micros
 
-_POINT, _SLICE, _VALUE, _CUTS, _BEFORE = "_point", "_slice", "_value", "_cuts", "_before"
+_POINT, _SLICE, _VALUE, _CUTS = "_point", "_slice", "_value", "_cuts"
+_BEFORE, _CARRY = "_before", "_carry"
 _LOOKED_AT = 10  # rows looked at for each cut, which evens out the sizes of the slices
 _SEED = 42
 _PER_PARTITION = 4  # slices for each shuffle partition, which evens out the partitions
@@ -50,17 +51,16 @@ def previous_value(
 
     cuts = _cuts(pointed.select(F.struct(_POINT, _VALUE).alias("cut")), slices)
     sliced = _number_slices(pointed.withColumn(_CUTS, cuts), slices)
-    in_slice = Window.partitionBy(*keys, _SLICE).orderBy(*order_by)
     carried = F.get(F.col(_CUTS), F.col(_SLICE) - 1)
     same_key = F.lit(True)
     for i in range(len(keys)):
         same_key &= carried[_POINT][f"c{i}"].eqNullSafe(F.col(_POINT)[f"c{i}"])
-    result = (
-        F.when(F.col(_BEFORE).isNotNull(), F.col(_BEFORE)[_VALUE])
-        .when(carried.isNotNull() & same_key, carried[_VALUE])
-        .otherwise(F.lit(default))
-    )
-    before = F.lag(F.struct(_VALUE)).over(in_slice)
+    # What a slice is handed by its cut, worked out here, so the cuts stay out of the shuffle.
+    handed = F.when(carried.isNotNull() & same_key, F.struct(carried[_VALUE].alias(_VALUE)))
+    sliced = sliced.select(*df.columns, _SLICE, _VALUE, handed.alias(_CARRY))
+    in_slice = Window.partitionBy(*keys, _SLICE).orderBy(*order_by)
+    before = F.coalesce(F.lag(F.struct(_VALUE)).over(in_slice), _CARRY)
+    result = F.when(F.col(_BEFORE).isNotNull(), F.col(_BEFORE)[_VALUE]).otherwise(F.lit(default))
     return sliced.withColumn(_BEFORE, before).select(*df.columns, result.alias(name))
 
 

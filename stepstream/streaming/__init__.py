@@ -1,5 +1,5 @@
 from stepstream.streaming.handle import StepHandle, run_step
-from stepstream.streaming.previous import PreviousSink
+from stepstream.streaming.previous import PreviousSink, previous_in_state
 from stepstream.streaming.sinks import (
     BatchSink,
     CompleteSink,
@@ -20,6 +20,7 @@ __all__ = [
     "PreviousSink",
     "StepHandle",
     "UpsertSink",
+    "previous_in_state",
     "read_json",
     "run_step",
     "write_json",

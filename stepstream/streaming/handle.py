@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from stepstream.streaming.progress import ProgressLog
 from stepstream.streaming.sinks import MemorySink, Sink
 from stepstream.workspace import new_dir
 
@@ -19,19 +21,14 @@ ROCKSDB_STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     )
 }
-_PROGRESS = (
-    "step_id STRING, batch_id BIGINT, started STRING, source STRING, "
-    "num_input_rows BIGINT, late_groups_dropped BIGINT"
-)
-
-
 class StepHandle:
     """A started step: its streaming query and the table that its sink fills."""
 
-    def __init__(self, query: StreamingQuery, sink: Sink, source: DataFrame):
+    def __init__(self, query: StreamingQuery, sink: Sink, source: DataFrame, log: ProgressLog):
         self.query = query
         self.sink = sink
         self.spark = source.sparkSession
+        self._log = log
 
     @property
     def step_id(self) -> str:
@@ -53,15 +50,20 @@ class StepHandle:
         """Wait for the query to end; with ``seconds``, tell whether it did. Raises if it failed."""
         if seconds is None:
             self.query.awaitTermination()
-            return True
-        return self.query.awaitTermination(seconds)
+            ended = True
+        else:
+            ended = self.query.awaitTermination(seconds)
+        if ended:
+            self._log.close(self.query)
+        return ended
 
     def stop(self) -> None:
         self.query.stop()
+        self._log.close(self.query)
 
-    def table(self) -> DataFrame:
-        """The result so far, planned anew at each call, so it shows rows that came since the last one."""
-        return self.sink.table(self.spark)
+    def table(self, as_of: str | None = None) -> DataFrame:
+        """The result so far, planned anew at each call, so it shows rows that came since the last one; or that of a named snapshot."""
+        return self.sink.table(self.spark, None if as_of is None else self.sink.pinned(self.spark, as_of))
 
     def view(self) -> DataFrame:
         """Register the result so far as a view named after the step, for SQL text, and return it."""
@@ -70,38 +72,32 @@ class StepHandle:
             now.createOrReplaceTempView(f"`{self.step_id}`")
         return now
 
-    def snapshot(self, path: str | None = None) -> DataFrame:
-        """The result as it is now, written to a table of its own that later rows do not change."""
-        path = path or new_dir(self.spark, "snapshot")
-        now = self.table()
-        now.write.parquet(path)
-        return self.spark.read.schema(now.schema).parquet(path)
+    def snapshot(self, name: str | None = None) -> DataFrame:
+        """The result as it is now, which later rows do not change, without a copy of its rows.
+
+        The files or parts that it consists of are listed under ``name`` beside the table and not removed before
+        :meth:`release`. ``table(as_of=name)`` shows it again, in later sessions too. A table in memory has no files, so its rows are copied.
+        """
+        if self.sink.path is None:
+            path, now = new_dir(self.spark, "snapshot"), self.table()
+            now.write.parquet(path)
+            return self.spark.read.schema(now.schema).parquet(path)
+        version = self.sink.version(self.spark)
+        self.sink.pin(self.spark, name or uuid.uuid4().hex, version)
+        return self.sink.table(self.spark, version)
+
+    def release(self, name: str) -> None:
+        """Forget a snapshot; what only it consists of may then be removed."""
+        self.sink.unpin(self.spark, name)
 
     def progress(self) -> DataFrame:
-        """Rows read per micro-batch and source, from the progress reports of this run.
+        """Rows read per micro-batch and source, from the progress reports of all runs on this table.
 
         ``late_groups_dropped`` counts what the watermark dropped after partial
-        aggregation; it is not a count of input rows. The session keeps the last
-        ``spark.sql.streaming.numRecentProgressUpdates`` reports; once it may have dropped one, this raises.
+        aggregation; it is not a count of input rows. Reports are kept in files beside the table. Of a sink without a path they
+        are those of this run alone, which the session keeps, and it raises if there are too many for that.
         """
-        kept = int(self.spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
-        if len(self.query.recentProgress) >= kept - 1:  # Spark makes room before it adds one
-            raise RuntimeError(f"reports may have been dropped; raise spark.sql.streaming.numRecentProgressUpdates")
-        rows = []
-        for report in self.query.recentProgress:
-            dropped = sum(s.numRowsDroppedByWatermark for s in report.stateOperators)
-            for source in report.sources:
-                rows.append(
-                    (
-                        report.name,
-                        report.batchId,
-                        report.timestamp,
-                        source.description,
-                        source.numInputRows,
-                        dropped,
-                    )
-                )
-        return self.spark.createDataFrame(rows, _PROGRESS)
+        return self._log.reports(self.query)
 
 
 def run_step(
@@ -134,8 +130,13 @@ def run_step(
         writer = writer.trigger(availableNow=True)
     elif trigger is not None:
         writer = writer.trigger(processingTime=trigger)
+    log = ProgressLog(spark, step_id, sink.path and f"{sink.path.rstrip('/')}-progress")
     with _settings(spark, conf or {}):  # a query keeps the settings it was started with
-        return StepHandle(writer.start(), sink, df)
+        try:
+            return StepHandle(writer.start(), sink, df, log)
+        except BaseException:
+            log.close()
+            raise
 
 
 @contextlib.contextmanager

@@ -1,20 +1,79 @@
-"""The value of the row before, carried from one micro-batch to the next."""
+"""The value of the row before, carried from one micro-batch to the next.
+
+:func:`previous_in_state` keeps what it carries in Spark's state store, so a batch costs its own keys. A key's rows of
+one batch are put in order by one task. :class:`PreviousSink` spreads them over many, for keys that fill a batch and for tables
+without keys.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepstream.operators.aggregate import latest_by_key
-from stepstream.operators.previous import previous_value
-from stepstream.streaming.sinks import BATCH_ID, Sink, _read_parts, _sized
-from stepstream.workspace import committed_parts
+from stepstream.operators.previous import _sortable, previous_value
+from stepstream.streaming.sinks import BATCH_ID, NTZ_MICROS, TIMESTAMP_MICROS, Sink, _read_parts, _sized
+from stepstream.workspace import committed_parts, remove
 
 _CARRIED, _VALUE = "_carried", "_value"
 _FOLD = 16  # batches after which the state is written whole
+_AS_TEXT = {**NTZ_MICROS, **TIMESTAMP_MICROS}
+
+
+def previous_in_state(
+    df: DataFrame, value: Column, order_by: Sequence[str], keys: Sequence[str], default=0, name: str = "previous"
+) -> DataFrame:
+    """Add to each row of a stream the ``value`` of the row before of its key, or ``default`` for the first row.
+
+    For ``append`` mode. Rows of a key must arrive in order of ``order_by`` from batch to batch; inside a batch they may be in any
+    order. For each key the state has order and value of the last row. One task takes the rows of a key in a
+    batch and holds them in memory. ``order_by`` puts the rows of a key in a total order, NULL first; its columns and ``value`` are numbers, text
+    or, in ``order_by``, instants. A NULL key is a key.
+    """
+    if not keys or not order_by:
+        raise ValueError("keys and order_by must name at least one column each")
+    valued = df.withColumn(_VALUE, value)
+    kinds = {f"k{i}": F.col(c) for i, c in enumerate(keys)}
+    carried = []  # a NULL would turn numbers into floats in Python, so each column goes with a mark
+    for i, column in enumerate([*[_sortable(df, c) for c in order_by], F.col(_VALUE)]):
+        kind = valued.select(column).schema[0].dataType
+        nothing = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+        kinds |= {f"has{i}": column.isNotNull(), f"o{i}": F.coalesce(column, nothing)}
+        carried += [f"has{i}", f"o{i}"]
+    kinds["row"] = F.to_json(F.struct(*df.columns), _AS_TEXT)
+    narrow = valued.select(*[column.alias(c) for c, column in kinds.items()])
+    state = T.StructType([narrow.schema[c] for c in carried])
+    out = T.StructType([narrow.schema["row"], T.StructField("first", T.BooleanType()), *state.fields[-2:]])
+    by_key = narrow.groupBy(*[f"k{i}" for i in range(len(keys))])
+    found = by_key.applyInPandasWithState(_in_order(carried), out, state, "append", "NoTimeout")
+    had, before = carried[-2:]
+    earlier = F.when(F.col("first"), F.lit(default)).when(F.col(had), F.col(before))
+    row = F.from_json("row", df.schema, _AS_TEXT).alias("row")
+    return found.select(row, earlier.alias("before")).select(*[F.col("row")[c].alias(c) for c in df.columns], F.col("before").alias(name))
+
+
+def _in_order(carried: Sequence[str]):
+    """A function over one key's rows of a batch and its state."""
+
+    def step(key, batches, state):
+        rows = pd.concat(list(batches), ignore_index=True)
+        rows["new"] = True
+        if state.exists:
+            last = pd.DataFrame([state.get], columns=list(carried)).assign(row=None, new=False)
+            rows = pd.concat([last, rows], ignore_index=True)
+        rows = rows.sort_values(list(carried[:-2]), kind="stable", ignore_index=True)
+        state.update(tuple(x.item() if hasattr(x, "item") else x for x in rows.loc[len(rows) - 1, list(carried)]))
+        had, value = carried[-2:]
+        at = rows.index.to_numpy() - 1
+        before = rows.loc[at.clip(0), [had, value]].reset_index(drop=True)
+        found = pd.concat([rows["row"], pd.Series(at < 0, name="first"), before], axis=1)
+        yield found[rows["new"]]
+
+    return step
 
 
 class PreviousSink(Sink):
@@ -26,7 +85,7 @@ class PreviousSink(Sink):
     order of ``order_by`` from batch to batch; inside a batch they may be in any order.
 
     The state is a log: a batch writes the keys that it changed, and every 16th
-    batch all of them, so a batch reads at most that many parts of it.
+    batch all of them; older parts are then removed. A batch reads at most that many parts, and of them its own keys only.
     """
 
     def __init__(
@@ -56,8 +115,8 @@ class PreviousSink(Sink):
     def _write(self, batch, batch_id):
         rows = self._valued(batch).persist()
         try:
-            state = self._state(rows, batch_id)
-            carried = state if not self.keys else self._of_keys(state, rows)
+            log = self._log(rows, batch_id)
+            carried = self._last(log if not self.keys else self._of_keys(log, rows))
             both = rows.withColumn(_CARRIED, F.lit(False)).unionByName(
                 carried.withColumn(_CARRIED, F.lit(True)), allowMissingColumns=True
             )
@@ -67,35 +126,41 @@ class PreviousSink(Sink):
             out = f"{self.path}/rows/{BATCH_ID}={batch_id}"
             result = result.where(~F.col(_CARRIED)).drop(_CARRIED, _VALUE)
             result.write.mode("overwrite").parquet(out)
-            last = rows.select(*state.columns)
+            last = rows.select(*log.columns)
             if batch_id % _FOLD == 0:
-                last = last.unionByName(state)
-            first, *rest = self.order_by
-            last = latest_by_key(last, self.keys, first, rest or [first])
-            _sized(last).write.mode("overwrite").parquet(f"{self.path}/state/{BATCH_ID}={batch_id}")
+                last = last.unionByName(log)
+            _sized(self._last(last)).write.mode("overwrite").parquet(f"{self.path}/state/{BATCH_ID}={batch_id}")
         finally:
             rows.unpersist()
 
-    def _state(self, rows, batch_id):
-        """The last row of each key in the batches before."""
+    def _last(self, log):
+        first, *rest = self.order_by
+        return latest_by_key(log, self.keys, first, rest or [first])
+
+    def _log(self, rows, batch_id):
+        """The last rows of keys in the batches before, from the last that has all of them. What is older is removed."""
         spark, path = rows.sparkSession, f"{self.path}/state"
         names = [*self.keys, *[c for c in self.order_by if c not in self.keys], _VALUE]
         schema = rows.select(*names).schema
         whole = (batch_id - 1) // _FOLD * _FOLD
-        parts = [i for i in committed_parts(spark, path, BATCH_ID) if whole <= i < batch_id]
-        log = _read_parts(spark, path, schema, parts).drop(BATCH_ID)
-        first, *rest = self.order_by
-        return latest_by_key(log, self.keys, first, rest or [first])
+        parts = committed_parts(spark, path, BATCH_ID)
+        for old in parts:
+            if old < whole:  # a replay of this batch, or of the next ones, does not ask for it
+                remove(spark, f"{path}/{BATCH_ID}={old}")
+        return _read_parts(spark, path, schema, [i for i in parts if whole <= i < batch_id]).drop(BATCH_ID)
 
     def _of_keys(self, state, rows):
-        """Those of the state whose key the batch has; structs compare with NULL equal to NULL."""
+        """Those of the log whose key the batch has; structs compare with NULL equal to NULL."""
         key = F.struct(*self.keys).alias("_key")
         present = rows.select(key).distinct()
         return state.withColumn("_key", key).join(present, "_key", "left_semi").drop("_key")
 
-    def table(self, spark):
+    def version(self, spark):
+        return [f"{BATCH_ID}={i}" for i in committed_parts(spark, f"{self.path}/rows", BATCH_ID)]
+
+    def table(self, spark, version=None):
         empty = self._valued(spark.createDataFrame([], self.schema))
         value = F.when(F.lit(True), F.col(_VALUE)).otherwise(F.lit(self.default))
         schema = empty.select(*self.schema.names, value.alias(self.name)).schema
-        path = f"{self.path}/rows"
-        return _read_parts(spark, path, schema, committed_parts(spark, path, BATCH_ID)).drop(BATCH_ID)
+        parts = self.version(spark) if version is None else version
+        return _read_parts(spark, f"{self.path}/rows", schema, [int(part.split("=")[1]) for part in parts]).drop(BATCH_ID)

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from stepstream.workspace import committed_parts, remove
+from stepstream.workspace import committed_names, committed_parts, file_names, remove, write_text
 
 BATCH_ID = "batch_id"
 BASE = -1  # stands below all batches
+FAN = 8  # parts of an update log that are merged into one of the next level
+_MERGED = "merged"
 NTZ_MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 TIMESTAMP_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -38,9 +40,34 @@ class Sink:
     def attach(self, writer: DataStreamWriter) -> DataStreamWriter:
         raise NotImplementedError
 
-    def table(self, spark: SparkSession) -> DataFrame:
+    def table(self, spark: SparkSession, version: Sequence[str] | None = None) -> DataFrame:
+        """The result so far, or as it was when :meth:`version` gave ``version``."""
         raise NotImplementedError
 
+    def version(self, spark: SparkSession) -> list[str]:
+        """Names of what the table consists of now. Files and parts of a table are never changed, only added and removed."""
+        raise TypeError(f"a {type(self).__name__} keeps no versions")
+
+    @property
+    def _pins(self) -> str:
+        return f"{self.path.rstrip('/')}-snapshots"
+
+    def pin(self, spark: SparkSession, name: str, version: Sequence[str]) -> None:
+        """Keep ``version`` under ``name``: what it consists of is not removed until :meth:`unpin`."""
+        write_text(spark, f"{self._pins}/{name}", "".join(f"{part}\n" for part in version))
+
+    def unpin(self, spark: SparkSession, name: str) -> None:
+        remove(spark, f"{self._pins}/{name}")
+
+    def pinned(self, spark: SparkSession, name: str | None = None) -> list[str]:
+        """The version kept under ``name``, or all that any name keeps."""
+        kept = file_names(spark, self._pins)
+        if name is not None and name not in kept:
+            raise KeyError(f"no snapshot {name!r}")
+        if not kept:
+            return []
+        return [row[0] for row in spark.read.text(f"{self._pins}/{name or '*'}").collect()]
+
 
 class MemorySink(Sink):
     """In-memory table named after the step. The driver holds it whole: for tests and small results."""
@@ -56,7 +83,7 @@ class MemorySink(Sink):
     def attach(self, writer):
         return writer.format("memory")
 
-    def table(self, spark):
+    def table(self, spark, version=None):
         return spark.table(f"`{self.step_id}`")
 
 
@@ -74,7 +101,7 @@ class ConsoleSink(Sink):
             writer.format("console").option("numRows", self.rows).option("truncate", self.truncate)
         )
 
-    def table(self, spark):
+    def table(self, spark, version=None):
         raise TypeError("a console sink keeps no table")
 
 
@@ -90,9 +117,14 @@ class FileSink(Sink):
     def attach(self, writer):
         return writer.format(self.file_format).options(**self.options).option("path", self.path)
 
-    def table(self, spark):
+    def table(self, spark, version=None):
         reader = spark.read.schema(self.schema).format(self.file_format).options(**self.options)
-        return reader.load(self.path)
+        if version is None:
+            return reader.load(self.path)
+        return reader.load(list(version)) if version else spark.createDataFrame([], self.schema)
+
+    def version(self, spark):
+        return sorted(self.table(spark).inputFiles())
 
 
 class BatchSink(Sink):
@@ -110,16 +142,22 @@ class BatchSink(Sink):
         place = f"{self.path}/{BATCH_ID}={batch_id}"
         _sized(self.step(batch)).write.mode("overwrite").parquet(place)
 
-    def table(self, spark):
-        return _read_parts(spark, self.path, self.schema, committed_parts(spark, self.path, BATCH_ID))
+    def version(self, spark):
+        return [f"{BATCH_ID}={i}" for i in committed_parts(spark, self.path, BATCH_ID)]
+
+    def table(self, spark, version=None):
+        parts = self.version(spark) if version is None else version
+        return _read_parts(spark, self.path, self.schema, [int(part.split("=")[1]) for part in parts])
 
 
 class UpsertSink(BatchSink):
     """The newest version of each key, for ``update`` mode.
 
-    A batch writes only the keys it changed; :meth:`table` takes for each key the
-    values of its last batch. The log grows by every change, so fold it from time
-    to time with :meth:`compact`.
+    A batch writes only the keys it changed, as a part of its own; :meth:`table` takes for each key the
+    values of its last batch. Parts are merged in levels while the step runs: every 8th batch writes the newest versions of
+    the last 8 batches as one part, every 64th those of the last 64, and so on, so a table of n batches has some
+    8 log(n) parts and a row is written again log(n) times. A part that lies in a merged one is not read any more. It is
+    removed 8 batches later, so a batch that is replayed finds what it merges, and a reader can end; or later, if a snapshot has it.
     """
 
     def __init__(self, path: str, schema: T.StructType, keys: Sequence[str]):
@@ -139,11 +177,67 @@ class UpsertSink(BatchSink):
             .drop("newest")
         )
 
-    def table(self, spark):
-        return self._newest(super().table(spark)).select(*self.schema.names)
+    def write_batch(self, batch, batch_id):
+        super().write_batch(batch, batch_id)
+        if batch_id > BASE:
+            self._merge(batch.sparkSession, batch_id)
+            self._remove_merged(batch.sparkSession, batch_id)
+
+    def _parts(self, spark) -> list[tuple[int, int, str]]:
+        """First and last batch, and the name, of all committed parts, in order; of those that begin alike the widest first."""
+        single = [(i, i, f"{BATCH_ID}={i}") for i in committed_parts(spark, self.path, BATCH_ID)]
+        merged = [(*map(int, name.split("=")[1].split("-")), name) for name in committed_names(spark, self.path, f"{_MERGED}=*")]
+        return sorted(single + merged, key=lambda part: (part[0], -part[1]))
+
+    @staticmethod
+    def _live(parts):
+        """Those that lie in no other."""
+        live, reach = [], BASE - 1
+        for part in parts:
+            if part[1] > reach:
+                live.append(part)
+                reach = part[1]
+        return live
+
+    def _merge(self, spark, batch_id):
+        """At the end of a level, the newest versions of all its batches as one part."""
+        span = 1
+        while (batch_id + 1) % (span * FAN) == 0:
+            span *= FAN
+        first = batch_id + 1 - span
+        merged = f"{_MERGED}={first}-{batch_id}"  # a replay finds the one of its first run, and replaces it
+        others = [part for part in self._parts(spark) if part[2] != merged]
+        inside = [name for a, b, name in self._live(others) if first <= a and b <= batch_id]
+        if len(inside) > 1:
+            newest = self._newest(self._log(spark, inside), F.max(BATCH_ID).alias(BATCH_ID))
+            _sized(newest.select(*self.schema.names, BATCH_ID)).write.mode("overwrite").parquet(f"{self.path}/{merged}")
+
+    def _remove_merged(self, spark, batch_id):
+        parts = self._parts(spark)
+        live = {name for *_, name in self._live(parts)}
+        old = [part for part in parts if part[2] not in live and part[1] < batch_id - FAN]
+        old = [part for part in old if any(a <= part[0] and part[1] <= b < batch_id - FAN for a, b, name in parts if name != part[2])]
+        if old:
+            pinned = set(self.pinned(spark))
+            for *_, name in old:
+                if name not in pinned:
+                    remove(spark, f"{self.path}/{name}")
+
+    def _log(self, spark, names):
+        """The rows of parts with their ``batch_id``."""
+        log = _read_parts(spark, self.path, self.schema, [int(n.split("=")[1]) for n in names if n.startswith(BATCH_ID)])
+        merged = [f"{self.path}/{name}" for name in names if name.startswith(_MERGED)]
+        return log.unionByName(spark.read.schema(log.schema).parquet(*merged)) if merged else log
+
+    def version(self, spark):
+        return [name for *_, name in self._live(self._parts(spark))]
+
+    def table(self, spark, version=None):
+        log = self._log(spark, self.version(spark) if version is None else version)
+        return self._newest(log).select(*self.schema.names)
 
     def compact(self, spark: SparkSession, path: str) -> UpsertSink:
-        """Write the newest versions to ``path`` and return a sink there for the next run of the step.
+        """Write the newest versions to ``path`` as one part and return a sink there for the next run of the step.
 
         Call it between runs. They stand below all batches, so a batch that is replayed replaces
         its own rows only. The new sink goes on from the checkpoint of this one. The log as
@@ -174,11 +268,18 @@ class CompleteSink(Sink):
     def _write(self, batch, batch_id):
         spark = batch.sparkSession
         _sized(batch).write.mode("overwrite").parquet(f"{self.path}/{BATCH_ID}={batch_id}")
-        for old in committed_parts(spark, self.path, BATCH_ID)[: -self.versions]:
-            remove(spark, f"{self.path}/{BATCH_ID}={old}")
-
-    def table(self, spark):
-        newest = committed_parts(spark, self.path, BATCH_ID)[-1:]
+        old = committed_parts(spark, self.path, BATCH_ID)[: -self.versions]
+        pinned = set(self.pinned(spark)) if old else ()
+        for i in old:
+            if f"{BATCH_ID}={i}" not in pinned:
+                remove(spark, f"{self.path}/{BATCH_ID}={i}")
+
+    def version(self, spark):
+        return [f"{BATCH_ID}={i}" for i in committed_parts(spark, self.path, BATCH_ID)[-1:]]
+
+    def table(self, spark, version=None):
+        parts = self.version(spark) if version is None else version
+        newest = [int(part.split("=")[1]) for part in parts]
         return _read_parts(spark, self.path, self.schema, newest).select(*self.schema.names)
 
 

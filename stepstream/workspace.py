@@ -1,4 +1,7 @@
-"""Where steps put landing files, checkpoints and results."""
+"""Where steps put landing files, checkpoints and results.
+
+Files are looked up and removed through the JVM's file systems, which a Spark Connect session does not offer.
+"""
 
 from __future__ import annotations
 
@@ -40,11 +43,31 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(there, True)
 
 
-def committed_parts(spark: SparkSession, path: str, name: str) -> list[int]:
-    """The numbers n, in order, of the folders ``<path>/<name>=n`` whose write has been committed.
+def committed_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """The names of the folders in ``path`` that fit ``pattern`` and whose write has been committed.
 
     Spark puts a ``_SUCCESS`` file into a folder once all of its files are in place.
     """
-    files, pattern = _hadoop(spark, f"{path}/{name}=*/_SUCCESS")
-    found = files.globStatus(pattern) or []
-    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+    files, found = _hadoop(spark, f"{path}/{pattern}/_SUCCESS")
+    return sorted(status.getPath().getParent().getName() for status in files.globStatus(found) or [])
+
+
+def committed_parts(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n, in order, of the folders ``<path>/<name>=n`` whose write has been committed."""
+    return sorted(int(found.split("=")[1]) for found in committed_names(spark, path, f"{name}=*"))
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder, which need not exist."""
+    files, found = _hadoop(spark, f"{path}/*")
+    return sorted(status.getPath().getName() for status in files.globStatus(found) or [])
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole, in place of any that is there."""
+    files, there = _hadoop(spark, path)
+    out = files.create(there, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()

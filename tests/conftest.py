@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
 
-TABLES = "/root/testdata/sf0.001"
+from compare import TABLES  # noqa: E402
 
 
 @pytest.fixture(scope="session")

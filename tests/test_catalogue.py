@@ -1,5 +1,5 @@
 import pytest
-from compare import connect, oracle_rows, spark_rows
+from compare import TABLES, connect, oracle_rows, spark_rows
 
 import __spark_entry__ as driver
 from stepstream.catalogue import ORACLES, QUERIES
@@ -7,8 +7,6 @@ from stepstream.catalogue import ORACLES, QUERIES
 
 @pytest.fixture(scope="module")
 def oracle():
-    from conftest import TABLES
-
     return connect(TABLES)
 
 

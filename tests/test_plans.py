@@ -67,6 +67,16 @@ def test_previous_value_shuffles_rows_once_and_never_to_one_task(events, keys):
     assert "SinglePartition" not in plan(df) and "Python" not in plan(df)
 
 
+@pytest.mark.parametrize("keys", [["user_id"], []])
+def test_previous_value_keeps_its_cuts_out_of_the_shuffle(events, keys):
+    df = previous_value(events.select("event_id", "user_id", "ts"), epoch_millis(events, "ts"), ["ts", "event_id"], keys)
+    node = df._jdf.queryExecution().sparkPlan()
+    while "Window" not in node.nodeName():
+        node = node.children().apply(0)
+    below = node.children().apply(0).output().toString()  # what goes through the exchange, once the plan has one
+    assert "_carry" in below and "_cuts" not in below and "_point" not in below
+
+
 def test_a_time_filter_reaches_the_scan(events):
     df = window_count(events.where("ts < timestamp_ntz'2024-01-09'"), "ts", "1 hour")
     assert "LessThan(ts," in plan(df)

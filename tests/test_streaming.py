@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
@@ -29,6 +30,7 @@ from stepstream.streaming import (
     MemorySink,
     PreviousSink,
     UpsertSink,
+    previous_in_state,
     read_json,
     run_step,
     write_json,
@@ -80,7 +82,7 @@ def test_late_rows(spark, zone, mode, make_sink, expected):
     )
     counts = window_bounds(runs[-1].table()).collect()
     assert {(r.window_start - T0).seconds: r.total for r in counts} == expected
-    dropped = sum(run.progress().agg(F.sum("late_groups_dropped")).first()[0] for run in runs)
+    dropped = runs[-1].progress().agg(F.sum("late_groups_dropped")).first()[0]  # of all runs on the table
     assert dropped == (0 if mode == "complete" else 1)
 
 
@@ -224,6 +226,29 @@ def test_previous_value_on_a_stream_equals_batch(spark, zone):
     )
 
 
+def test_previous_value_in_state_equals_batch(spark, zone):
+    batches = keyed_batches(spark)
+    for value, default in ((lambda df: epoch_millis(df, "ts"), 0), (lambda df: F.when(F.col("id") % 7 > 0, F.col("id").cast("string")), "none")):
+        step = lambda df: previous_in_state(df, value(df), ["ts", "id"], ["k"], default)  # noqa: B023, E731
+        table = in_batches(batches, step, FileSink, conf=ROCKSDB_STATE)[-1].table()
+        whole = batches[0].union(batches[1]).union(batches[2])
+        assert table.columns == [*KEYED.names, "previous"]
+        assert by_key(table) == by_key(previous_value(whole, value(whole), ["ts", "id"], ["k"], default))
+
+
+def test_previous_value_in_state_keeps_every_value(spark):
+    """Numbers beyond 2^53, NULLs, NaN and NULL in the order go through Python unchanged."""
+    big, kind = 2**60 + 1, "k BIGINT, a BIGINT, b DOUBLE, s STRING, at TIMESTAMP"
+    at = dt.datetime(2024, 5, 1, 1, 2, 3, 456789)
+    rows = [[(big, None, 1.5, "x", at), (big, big, None, None, None)], [(big, big + 1, float("nan"), "", at), (None, 1, 0.1, "é\n", at)]]
+    batches = [spark.createDataFrame(r, kind) for r in rows]
+    for column in ("a", "s", "b"):
+        table = in_batches(batches, lambda df: previous_in_state(df, F.col(column), ["a"], ["k"], None, "p"), FileSink)[-1].table()  # noqa: B023
+        whole = batches[0].union(batches[1])
+        expected = previous_value(whole, F.col(column), ["a"], ["k"], None, "p")
+        assert repr(by_key(table)) == repr(by_key(expected))  # NaN is not equal to itself
+
+
 def test_previous_sink_takes_a_replayed_batch(spark):
     batches = keyed_batches(spark)
     value = lambda df: F.col("id")
@@ -288,6 +313,35 @@ def test_live_table_and_snapshot(spark):
         handle.stop()
 
 
+def test_snapshots_by_name_without_a_copy(spark):
+    landing = RowLanding(spark, new_dir(spark, "landing"), NUMBERS)
+    counts = landing.stream().groupBy((F.col("n") % 3).alias("k")).agg(F.count("*").alias("cnt"))
+    makes = [
+        (landing.stream(), lambda path, schema: FileSink(path, schema), "append"),
+        (counts, lambda path, schema: UpsertSink(path, schema, ["k"]), "update"),
+        (counts, CompleteSink, "complete"),
+        (landing.stream(), lambda path, schema: BatchSink(path, schema, lambda b: b), "append"),
+    ]
+    sinks = [(step, make(new_dir(spark, "out"), step.schema), mode) for step, make, mode in makes]
+    seen = []
+    for round_ in range(4):
+        landing.add_rows(spark.range(10 * round_, 10 * round_ + 10).toDF("n"))
+        for i, (step, sink, mode) in enumerate(sinks):
+            handle = run_through(step, sink, mode)
+            if round_ == 1:
+                before = set(os.listdir(sink.path))
+                snapshot = handle.snapshot("second")
+                assert set(os.listdir(sink.path)) == before
+                seen.append((by_key(snapshot), snapshot))
+            if round_ == 3:
+                rows, snapshot = seen[i]
+                assert by_key(handle.table()) != rows == by_key(snapshot) == by_key(handle.table("second"))
+                assert by_key(type(handle)(handle.query, sink, step, handle._log).table(as_of="second")) == rows
+                handle.release("second")
+                with pytest.raises(KeyError):
+                    handle.table("second")
+
+
 def test_steps_over_a_live_table(spark):
     """Typed rows get an arrival time; two steps and the latest row are read from the live table."""
     record = T.StructType(
