@@ -43,9 +43,9 @@ class Recent(dict):
             self.clear()
         self[key] = value
 
-    def put_all(self, items) -> None:
-        """Remembers all ``items``; they may be a lot more than ``most``, until the next ones come."""
-        if len(self) >= self.most:
+    def put_all(self, items: dict) -> None:
+        """Remembers all ``items``, which may be more than ``most`` until the next ones come."""
+        if len(self) + len(items) > self.most:
             self.before = dict(self)
             self.clear()
         self.update(items)

@@ -30,10 +30,10 @@ from stepstream.workspace import new_dir
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
-WORDS_KEPT = 400_000  # in each lot of the cache of a Python worker; about 80 MB
+WORDS_KEPT = 250_000  # in each lot of the cache of a Python worker; about 50 MB
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
 _MARK, _MARKED = "\x01", 256  # words at a time
-_BYTES_AT_ONCE = 1 << 24  # of texts whose distinct words are found together
+_BYTES_AT_ONCE = 1 << 23  # of texts whose distinct words are found together
 _WORDS_AT_ONCE = 1 << 18
 _BLOCKS = (
     "part int, block int, base bigint, id_bytes int, doc_ids array<bigint>, "
@@ -74,15 +74,14 @@ class TextEncoder:
 
     def _coded(self, words: list[str]) -> list[bytes]:
         known, before = self.words.get, self.words.before.get
-        coded = [known(word) or before(word) for word in words]
+        coded = [known(word) or before(word) for word in words]  # one of the last lot is looked up there until it is forgotten
         asked = {i: self._parts(words[i]) for i, ids in enumerate(coded) if not ids}
         parts = {part: known(part) or before(part) for own in asked.values() for part in own}
         new = [part for part, ids in parts.items() if not ids]
         parts.update(zip(new, self._library(new)))
         for i, own in asked.items():
             coded[i] = b"".join([parts[part] for part in own])
-        self.words.put_all(parts)
-        self.words.put_all(zip(words, coded))
+        self.words.put_all(parts | {words[i]: coded[i] for i in asked})
         return coded
 
     @staticmethod
