@@ -30,10 +30,10 @@ from stepstream.workspace import new_dir
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
-WORDS_KEPT = 250_000  # in each lot of the cache of a Python worker; about 50 MB
+WORDS_KEPT = 500_000  # in each lot of the cache of a Python worker; about 100 MB
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
 _MARK, _MARKED = "\x01", 256  # words at a time
-_BYTES_AT_ONCE = 1 << 23  # of texts whose distinct words are found together
+_BYTES_AT_ONCE = 1 << 24  # of texts whose distinct words are found together
 _WORDS_AT_ONCE = 1 << 18
 _BLOCKS = (
     "part int, block int, base bigint, id_bytes int, doc_ids array<bigint>, "
