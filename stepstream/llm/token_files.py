@@ -30,8 +30,9 @@ from stepstream.workspace import new_dir
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
-WORDS_KEPT = 500_000  # in each lot of the cache of a Python worker; about 100 MB
+WORDS_KEPT = 500_000  # in each lot of the cache of a Python worker; about 75 MB
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
+_ALNUM = np.array([chr(c).isascii() and chr(c).isalnum() for c in range(256)])
 _MARK, _MARKED = "\x01", 256  # words at a time
 _BYTES_AT_ONCE = 1 << 24  # of texts whose distinct words are found together
 _WORDS_AT_ONCE = 1 << 18
@@ -47,7 +48,7 @@ class TextEncoder:
 
     So texts are cut at ASCII white space, and each distinct word of a lot of texts is encoded once by the library and
     remembered. Other white space stays in the words for the library. Of words that are ASCII throughout, capitals are taken as
-    small letters and signs at the end apart, as the tokenizer does; any other word is left to it as it stands. The library gets many
+    small letters and signs at the end apart, as the tokenizer does, before that; any other word is left to it as it stands. The library gets many
     words at a time with a mark between them.
     """
 
@@ -64,36 +65,28 @@ class TextEncoder:
         last = b"" if end is None else end.to_bytes(self.id_bytes, "little")
         cut = pc.ascii_split_whitespace(texts)
         words = cut.flatten().dictionary_encode()
-        coded = self._coded(words.dictionary.to_pylist())
+        parts = _parts(words.dictionary).dictionary_encode()
+        coded = self._coded(parts.dictionary.to_pylist())
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.id_bytes
-        index = words.indices.to_numpy(zero_copy_only=False)
-        ids = _joined(np.frombuffer(b"".join(coded), f"<u{self.id_bytes}"), sizes, index)
+        at = parts.indices.to_numpy(zero_copy_only=False)
+        of_words = _joined(np.frombuffer(b"".join(coded), f"<u{self.id_bytes}"), sizes, at)
+        sizes, index = sizes[at].reshape(-1, 2).sum(axis=1), words.indices.to_numpy(zero_copy_only=False)
+        ids = _joined(of_words, sizes, index)
         word_ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
         ends = np.append(0, np.cumsum(sizes[index]))[np.append(0, word_ends)].tolist()
         return [ids[a:b].tobytes() + last for a, b in zip(ends, ends[1:])]
 
-    def _coded(self, words: list[str]) -> list[bytes]:
+    def _coded(self, parts: list[str]) -> list[bytes]:
         known, before = self.words.get, self.words.before.get
-        coded = [known(word) or before(word) for word in words]  # one of the last lot is looked up there until it is forgotten
-        asked = {i: self._parts(words[i]) for i, ids in enumerate(coded) if not ids}
-        parts = {part: known(part) or before(part) for own in asked.values() for part in own}
-        new = [part for part, ids in parts.items() if not ids]
-        parts.update(zip(new, self._library(new)))
-        for i, own in asked.items():
-            coded[i] = b"".join([parts[part] for part in own])
-        self.words.put_all(parts | {words[i]: coded[i] for i in asked})
+        coded = [before(part) if (ids := known(part)) is None else ids for part in parts]  # one of the last lot is looked up there until it is forgotten
+        asked = [i for i, ids in enumerate(coded) if ids is None]
+        new = [parts[i] for i in asked]
+        found = self._library(new)
+        for i, ids in zip(asked, found):
+            coded[i] = ids
+        self.words.put_all(dict(zip(new, found)))
         return coded
 
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
-        if not word.isascii() or "<|" in word:  # may compose or change with its case, or be a special token
-            return (word,)
-        word = word.lower()
-        body = word.rstrip(_SIGNS)
-        if not body or len(body) == len(word) or not body[-1].isalnum():
-            return (word,)
-        return body, word[len(body) :]
-
     def _library(self, words: list[str]) -> list[bytes]:
         """Ids of each word. The mark is a pre-token of its own and has one id, which only a word with the mark could have as well."""
         encode, kind, mark = self.tokenizer.encode_batch_fast, f"<u{self.id_bytes}", f" {_MARK} "
@@ -112,6 +105,23 @@ class TextEncoder:
         return list(found.values())
 
 
+def _parts(words: pa.StringArray) -> pa.StringArray:
+    """Two parts of each word, one after the other: what the library gets, and the signs at its end or nothing.
+
+    Both lie side by side in the words' own buffer, so only the bounds are new.
+    """
+    plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
+    words = pc.if_else(plain, pc.ascii_lower(words), words)  # any other may compose or change with its case, or be a special token
+    letters = words.buffers()[2] or pa.py_buffer(b"")
+    starts = np.frombuffer(words.buffers()[1] or bytes(4), np.int32)[words.offset : words.offset + len(words) + 1]
+    body = pc.binary_length(pc.ascii_rtrim(words, _SIGNS)).to_numpy(zero_copy_only=False)
+    last = np.append(np.frombuffer(letters, np.uint8), 0)[starts[:-1] + body - 1]
+    cut = plain.to_numpy(zero_copy_only=False) & (body > 0) & _ALNUM[last]
+    bounds = np.empty(2 * len(words) + 1, np.int32)
+    bounds[::2], bounds[1::2] = starts, np.where(cut, starts[:-1] + body, starts[1:])
+    return pa.StringArray.from_buffers(2 * len(words), pa.py_buffer(bounds), letters)
+
+
 def _joined(pool: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarray:
     """The runs of ``pool`` named by ``index``, one after the other; ``sizes`` has the length of each run."""
     starts, parts = np.cumsum(sizes) - sizes, []
