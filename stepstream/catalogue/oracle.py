@@ -48,7 +48,7 @@ spans AS (
 _LATE = f"""
 {_SPANS},
 arrived AS (
-  SELECT date_trunc('hour', ts) AS window_start, ts,
+  SELECT event_id, event_type, date_trunc('hour', ts) AS window_start, ts,
          CASE WHEN event_type = 'error' THEN span + 1 ELSE span END AS batch
   FROM spans
 ),
@@ -118,6 +118,7 @@ ORACLES = {
         UNION ALL SELECT -1, TIMESTAMP '2024-01-01 00:00:00', 0, 'start', 0.5, '{{}}'
         UNION ALL SELECT -2, TIMESTAMP '2024-01-01 00:00:00', 0, 'end', NULL, '{{}}'
     """,
+    "append_rows_once_stream": "SELECT event_id, user_id, ts FROM events",
     "restart_stream": "SELECT event_id, user_id, ts FROM events",
     "step_chain_stream": _STEP_CHAIN,
     "word_count_stream": _WORDS,
@@ -139,6 +140,11 @@ ORACLES = {
     """,
     "late_rows_update": f"{_LATE} SELECT * FROM counted",
     "late_rows_complete": _WINDOWS,
+    "late_rows_table": f"""
+        {_LATE} SELECT event_id, event_type, ts, CAST(batch AS BIGINT) AS batch_id,
+               coalesce(window_start + INTERVAL 1 HOUR <= watermark, false) AS late
+        FROM arrived JOIN watermarks USING (batch)
+    """,
     "keyed_sum_per_batch": f"""
         SELECT batch_id, CAST(l_linenumber AS BIGINT) * l_linenumber AS k,
                CAST(sum(1) AS BIGINT) AS n

@@ -35,6 +35,7 @@ from stepstream.streaming import (
     BatchSink,
     CompleteSink,
     FileSink,
+    LateRowsSink,
     PreviousSink,
     UpsertSink,
     previous_in_state,
@@ -78,7 +79,7 @@ def run_through(stepped, sink, mode="append", conf=None, checkpoint=None):
 
 
 def _clear(batches, landing, sink):
-    for path in (getattr(batches, "path", None), landing.path, sink.checkpoint):
+    for path in (getattr(batches, "path", None), landing.path, landing.staged, landing.landed, sink.checkpoint):
         if path:
             remove(landing.spark, path)
 
@@ -140,6 +141,20 @@ def append_rows(spark, folder):
     return table
 
 
+def land_once(spark, folder):
+    """Each span is added twice under its key, as a caller does that does not know whether the first call ended."""
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts")
+    batches = _spans(events)
+    landing = RowLanding(spark, new_dir(spark, "landing"), events.schema)
+    sink = FileSink(new_dir(spark, "result"), events.schema)
+    for i, part in enumerate(batches):
+        for _ in range(2):
+            landing.add_rows(part, key=f"span-{i}")
+            run_through(landing.stream(), sink)
+    _clear(batches, landing, sink)
+    return sink.table(spark)
+
+
 def restart(spark, folder):
     """The step stops after two spans. A new sink and stream on the same table take the other two, and no row twice."""
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts")
@@ -221,6 +236,16 @@ def late_complete(spark, folder):
     return _windows(spark, folder, "complete", CompleteSink, _spans_with_delay, "3 days")
 
 
+def late_table(spark, folder):
+    """Every event with whether it came too late for its window, by the watermark that its batch met."""
+    events = read_table(spark, folder, "events").select("event_id", "event_type", "ts")
+
+    def make_sink(path, schema):
+        return LateRowsSink(path, schema, "ts", "1 hour", "3 days")
+
+    return in_batches(_spans_with_delay(events), lambda df: df, make_sink)[-1].table()
+
+
 def windows_of_arrival(spark, folder):
     """Which window a row falls in depends on the clock; that it is one of 5 seconds around now, and counted once, does not."""
     events = read_table(spark, folder, "events").select("event_id", "ts")
@@ -338,6 +363,7 @@ def live_and_snapshot(spark, folder):
 
 STREAM_QUERIES = {
     "append_rows_stream": append_rows,
+    "append_rows_once_stream": land_once,
     "restart_stream": restart,
     "step_chain_stream": step_chain,
     "word_count_stream": words,
@@ -349,6 +375,7 @@ STREAM_QUERIES = {
     "late_rows_append": late_append,
     "late_rows_update": late_update,
     "late_rows_complete": late_complete,
+    "late_rows_table": late_table,
     "keyed_sum_per_batch": squares_per_batch,
     "batch_preview": preview_per_batch,
     "latest_per_key_stream": latest_per_key,

@@ -34,6 +34,12 @@ def wall_clock(column: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.expr(_EPOCH_NTZ))
 
 
+def duration_micros(duration: str) -> Column:
+    """The length of a duration such as ``5 seconds`` or ``3 days``."""
+    epoch = F.expr(_EPOCH_NTZ)
+    return F.timestamp_diff("MICROSECOND", epoch, epoch + F.lit(duration).cast("interval"))
+
+
 def epoch_micros(df: DataFrame, ts: str) -> Column:
     return F.unix_micros(instant(df, ts))
 

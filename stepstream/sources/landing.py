@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import deque
 from collections.abc import Callable, Iterable, Sequence
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stepstream.schema import MAP_ROW, StepSchema
+from stepstream.workspace import committed_names, file_names, move_files, remove, write_text
 
 
 class RowLanding:
@@ -31,12 +33,34 @@ class RowLanding:
         self.file_format = file_format
         self.step_schema = schema if isinstance(schema, StepSchema) else None
         self.schema = MAP_ROW if self.step_schema else schema
+        # Beside the landing, as the stream reads all that lies in it.
+        self.staged, self.landed = (f"{path.rstrip('/')}-{kind}" for kind in ("staged", "landed"))
 
-    def add_rows(self, rows: DataFrame | Iterable) -> None:
-        """Append a DataFrame of any size, or a few rows that the driver holds, as one write."""
+    def add_rows(self, rows: DataFrame | Iterable, key: str | None = None) -> None:
+        """Append a DataFrame of any size, or a few rows that the driver holds, as one write.
+
+        With ``key`` the rows land once, however often the call is repeated with it, also after a failure in the middle
+        of it: they are written beside the landing, their files move in once all are written, and a marker
+        named after the key ends it. The rows of the first call that wrote them all are those that land. One caller at a time may use a key.
+        """
         if not isinstance(rows, DataFrame):
             rows = self._local_rows(rows)
-        rows.select(*self.schema.names).write.mode("append").format(self.file_format).save(self.path)
+        rows = rows.select(*self.schema.names)
+        if key is None:
+            rows.write.mode("append").format(self.file_format).save(self.path)
+        elif re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", key):
+            self._add_once(rows, key)
+        else:
+            raise ValueError(f"a key consists of letters, digits and the signs _.-, not {key!r}")
+
+    def _add_once(self, rows: DataFrame, key: str) -> None:
+        staged = f"{self.staged}/{key}"
+        if key not in file_names(self.spark, self.landed):
+            if not committed_names(self.spark, self.staged, key):
+                rows.write.mode("overwrite").format(self.file_format).save(staged)
+            move_files(self.spark, staged, self.path, f"{key}-")
+            write_text(self.spark, f"{self.landed}/{key}", "")
+        remove(self.spark, staged)
 
     def add_row(self, values: Sequence[str | None] | None = None) -> None:
         """Append one row, by default that of the step schema. Each call writes a file."""

@@ -1,4 +1,5 @@
 from stepstream.streaming.handle import StepHandle, run_step
+from stepstream.streaming.late import LateRowsSink
 from stepstream.streaming.previous import PreviousSink, previous_in_state
 from stepstream.streaming.sinks import (
     BatchSink,
@@ -16,6 +17,7 @@ __all__ = [
     "CompleteSink",
     "ConsoleSink",
     "FileSink",
+    "LateRowsSink",
     "MemorySink",
     "PreviousSink",
     "StepHandle",

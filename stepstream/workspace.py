@@ -63,6 +63,22 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.globStatus(found) or [])
 
 
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move the data files of a folder to another one. Called again after a failure, it moves what is left."""
+    files, found = _hadoop(spark, f"{source}/*")
+    into = spark._jvm.org.apache.hadoop.fs.Path
+    files.mkdirs(into(target))
+    for status in files.globStatus(found) or []:
+        here = status.getPath()
+        there = into(f"{target}/{prefix}{here.getName()}")
+        if here.getName().startswith(("_", ".")):
+            continue
+        if files.exists(there):  # a store that copies was stopped before it removed the source
+            files.delete(here, False)
+        elif not files.rename(here, there):
+            raise OSError(f"cannot move {here} to {there}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file whole, in place of any that is there."""
     files, there = _hadoop(spark, path)
