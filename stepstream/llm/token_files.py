@@ -30,7 +30,7 @@ from stepstream.workspace import new_dir
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
-WORDS_KEPT = 500_000  # in each lot of the cache of a Python worker; about 75 MB
+WORDS_KEPT = 400_000  # in each lot of the cache of a Python worker; about 75 MB
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
 _ALNUM = np.array([chr(c).isascii() and chr(c).isalnum() for c in range(256)])
 _MARK, _MARKED = "\x01", 256  # words at a time
@@ -170,6 +170,7 @@ def _write_part(path: str, block_ids: int, end: int | None):
                         doc_ids, coded, ends = [], [], [0]
         if doc_ids:
             yield row()
+        pa.default_memory_pool().release_unused()  # the worker lives on, and other stages need the room
 
     return write
 
