@@ -127,6 +127,7 @@ ORACLES = {
         SELECT * FROM ({_WINDOWS})
         WHERE window_end <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)
     """,
+    "window_count_stream_finished": _WINDOWS,
     "window_count_stream_update": _WINDOWS,
     "window_count_stream_complete": _WINDOWS,
     "window_count_arrival": """
@@ -138,6 +139,7 @@ ORACLES = {
         {_LATE} SELECT * FROM counted
         WHERE window_end <= (SELECT max(ts) - INTERVAL 3 DAY FROM events)
     """,
+    "late_rows_finished": f"{_LATE} SELECT * FROM counted",
     "late_rows_update": f"{_LATE} SELECT * FROM counted",
     "late_rows_complete": _WINDOWS,
     "late_rows_table": f"""

@@ -24,6 +24,7 @@ from stepstream.functions import (
 from stepstream.operators import (
     keyed_sum,
     latest_by_key,
+    open_window_counts,
     preview,
     top_counts,
     window_bounds,
@@ -48,10 +49,10 @@ SPANS = 4
 _BATCH = "_batch"
 
 
-def in_batches(batches, step, make_sink, mode="append", landed_as="parquet", conf=None):
+def in_batches(batches, step, make_sink, mode="append", landed_as="parquet", conf=None, last=None):
     """Feed ``batches`` one by one through ``step`` into a sink and return the handles of the runs.
 
-    ``make_sink`` gets a path and the schema of the step's result. What the batches were stored in,
+    With ``last``, the table is finished by it. ``make_sink`` gets a path and the schema of the step's result. What the batches were stored in,
     landing and checkpoint are removed at the end; the result belongs to the caller.
     """
     spark = batches[0].sparkSession
@@ -63,7 +64,10 @@ def in_batches(batches, step, make_sink, mode="append", landed_as="parquet", con
     stepped = step(landing.stream())
     sink = make_sink(new_dir(spark, "result"), stepped.schema)
     try:
-        return queue.drain(lambda: run_through(stepped, sink, mode, conf))
+        runs = queue.drain(lambda: run_through(stepped, sink, mode, conf))
+        if last is not None:
+            runs[-1].finish(last)
+        return runs
     finally:
         _clear(batches, landing, sink)
 
@@ -197,13 +201,14 @@ def top_words(spark, folder):
     return top_counts(run_through(counts, sink, "update", ROCKSDB_STATE).table(), 10)
 
 
-def _windows(spark, folder, mode, make_sink, batches=_spans, watermark="5 seconds"):
+def _windows(spark, folder, mode, make_sink, batches=_spans, watermark="5 seconds", last=None):
     events = read_table(spark, folder, "events").select("event_type", "ts")
     runs = in_batches(
         batches(events),
         lambda df: window_count(df, "ts", "1 hour", watermark),
         make_sink,
         mode,
+        last=last,
     )
     return window_bounds(runs[-1].table())
 
@@ -216,6 +221,11 @@ def windows_append(spark, folder):
     return _windows(spark, folder, "append", FileSink)
 
 
+def windows_finished(spark, folder):
+    """Also the windows that no later row has closed."""
+    return _windows(spark, folder, "append", FileSink, last=open_window_counts)
+
+
 def windows_update(spark, folder):
     return _windows(spark, folder, "update", _upsert_windows)
 
@@ -228,6 +238,11 @@ def late_append(spark, folder):
     return _windows(spark, folder, "append", FileSink, _spans_with_delay, "3 days")
 
 
+def late_finished(spark, folder):
+    """All windows, without the rows that came too late for theirs."""
+    return _windows(spark, folder, "append", FileSink, _spans_with_delay, "3 days", open_window_counts)
+
+
 def late_update(spark, folder):
     return _windows(spark, folder, "update", _upsert_windows, _spans_with_delay, "3 days")
 
@@ -369,10 +384,12 @@ STREAM_QUERIES = {
     "word_count_stream": words,
     "top_words_stream": top_words,
     "window_count_stream_append": windows_append,
+    "window_count_stream_finished": windows_finished,
     "window_count_stream_update": windows_update,
     "window_count_stream_complete": windows_complete,
     "window_count_arrival": windows_of_arrival,
     "late_rows_append": late_append,
+    "late_rows_finished": late_finished,
     "late_rows_update": late_update,
     "late_rows_complete": late_complete,
     "late_rows_table": late_table,

@@ -4,6 +4,7 @@ from stepstream.operators.aggregate import (
     keyed_sum,
     latest,
     latest_by_key,
+    open_window_counts,
     total,
     window_bounds,
     window_count,
@@ -19,6 +20,7 @@ __all__ = [
     "latest",
     "latest_by_key",
     "latest_n",
+    "open_window_counts",
     "preview",
     "previous_value",
     "top_counts",

@@ -38,6 +38,11 @@ def window_bounds(counts: DataFrame, name: str = "total") -> DataFrame:
     )
 
 
+def open_window_counts(state: DataFrame, name: str = "total") -> DataFrame:
+    """The windows that a stream of :func:`window_count` still holds open, from its state; see ``StepHandle.finish``."""
+    return state.select("key.window", F.col("value.count").alias(name))
+
+
 def count_by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 

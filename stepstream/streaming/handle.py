@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from stepstream.streaming.progress import ProgressLog
 from stepstream.streaming.sinks import MemorySink, Sink
-from stepstream.workspace import new_dir
+from stepstream.workspace import file_names, new_dir
 
 OUTPUT_MODES = ("append", "update", "complete")
 AVAILABLE_NOW = "available-now"
@@ -21,11 +21,14 @@ ROCKSDB_STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     )
 }
+
+
 class StepHandle:
     """A started step: its streaming query and the table that its sink fills."""
 
-    def __init__(self, query: StreamingQuery, sink: Sink, source: DataFrame, log: ProgressLog):
+    def __init__(self, query: StreamingQuery, sink: Sink, source: DataFrame, log: ProgressLog, checkpoint: str | None = None):
         self.query = query
+        self._checkpoint = checkpoint
         self.sink = sink
         self.spark = source.sparkSession
         self._log = log
@@ -61,6 +64,38 @@ class StepHandle:
         self.query.stop()
         self._log.close(self.query)
 
+    def finish(self, rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Add to the table what the step still holds back, as no more rows will come, and return the table.
+
+        In ``append`` mode a window is given out once the watermark has passed it, so the last ones never are. They are
+        taken from the state store as the last batch left it: ``rows`` turns its ``key`` and ``value`` into rows of the table, for a
+        window count :func:`open_window_counts`. Late rows are in no state, so they stay out as before.
+
+        The step must have ended, with its last batch committed; rows that the source has and the step did not take are not
+        counted. It must keep the state of one aggregate. A finished table takes no more runs. After a failure :meth:`finish` can be called
+        again; once it has succeeded it does nothing. A step that never had a row gives none.
+        """
+        if self.is_active:
+            raise RuntimeError(f"step {self.step_id!r} is running; stop it first")
+        if self.sink.finished(self.spark):
+            return self.table()
+        begun, ended = (self._batches(log) for log in ("offsets", "commits"))
+        if begun != ended:
+            raise RuntimeError(f"the last batch of step {self.step_id!r} was not committed; run the step to its end first")
+        if ended < 0:
+            self.sink.finish(self.spark.createDataFrame([], self.sink.schema))
+            return self.table()
+        kept = self.spark.read.format("state-metadata").load(self._checkpoint).select("operatorName").collect()
+        if [row[0] for row in kept] != ["stateStoreSave"]:
+            raise TypeError(f"step {self.step_id!r} does not keep the state of one aggregate")
+        self.sink.finish(rows(self.spark.read.format("statestore").load(self._checkpoint)))
+        return self.table()
+
+    def _batches(self, log: str) -> int:
+        """The number of the last batch in a log of the checkpoint, -1 if there is none."""
+        names = file_names(self.spark, f"{self._checkpoint}/{log}")
+        return max((int(name) for name in names if name.isdecimal()), default=-1)
+
     def table(self, as_of: str | None = None) -> DataFrame:
         """The result so far, planned anew at each call, so it shows rows that came since the last one; or that of a named snapshot."""
         return self.sink.table(self.spark, None if as_of is None else self.sink.pinned(self.spark, as_of))
@@ -122,10 +157,13 @@ def run_step(
     spark = df.sparkSession
     if any(q.name == step_id for q in spark.streams.active):
         raise ValueError(f"step {step_id!r} is already running")
+    if sink.finished(spark):
+        raise ValueError(f"the table of step {step_id!r} is finished")
     sink.bind(step_id)
     writer = sink.attach(df.writeStream.queryName(step_id).outputMode(mode))
     if checkpoint is not None or sink.recoverable:
-        writer = writer.option("checkpointLocation", checkpoint or sink.checkpoint or new_dir(spark, "checkpoint"))
+        checkpoint = checkpoint or sink.checkpoint or new_dir(spark, "checkpoint")
+        writer = writer.option("checkpointLocation", checkpoint)
     if trigger == AVAILABLE_NOW:
         writer = writer.trigger(availableNow=True)
     elif trigger is not None:
@@ -133,7 +171,7 @@ def run_step(
     log = ProgressLog(spark, step_id, sink.path and f"{sink.path.rstrip('/')}-progress")
     with _settings(spark, conf or {}):  # a query keeps the settings it was started with
         try:
-            return StepHandle(writer.start(), sink, df, log)
+            return StepHandle(writer.start(), sink, df, log, checkpoint)
         except BaseException:
             log.close()
             raise

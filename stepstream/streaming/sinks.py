@@ -20,6 +20,7 @@ BATCH_ID = "batch_id"
 BASE = -1  # stands below all batches
 FAN = 8  # parts of an update log that are merged into one of the next level
 _MERGED = "merged"
+_LAST = "last"
 NTZ_MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 TIMESTAMP_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -48,6 +49,14 @@ class Sink:
         """Names of what the table consists of now. Files and parts of a table are never changed, only added and removed."""
         raise TypeError(f"a {type(self).__name__} keeps no versions")
 
+    def finished(self, spark: SparkSession) -> bool:
+        """Whether :meth:`finish` has ended the table."""
+        return False
+
+    def finish(self, rows: DataFrame) -> None:
+        """Add the last rows to the table, all or none. Called again, it replaces what it added."""
+        raise TypeError(f"the table of a {type(self).__name__} has no end")
+
     @property
     def _pins(self) -> str:
         return f"{self.path.rstrip('/')}-snapshots"
@@ -106,7 +115,10 @@ class ConsoleSink(Sink):
 
 
 class FileSink(Sink):
-    """Appends to files, exactly once per row: the table of an ``append`` step at any size."""
+    """Appends to files, exactly once per row: the table of an ``append`` step at any size.
+
+    Spark lists the files of its batches in a log of its own, so the rows that end the table lie in a folder beside them.
+    """
 
     def __init__(self, path: str, schema: T.StructType, file_format: str = "parquet"):
         self.path = path
@@ -119,13 +131,25 @@ class FileSink(Sink):
 
     def table(self, spark, version=None):
         reader = spark.read.schema(self.schema).format(self.file_format).options(**self.options)
-        if version is None:
-            return reader.load(self.path)
-        return reader.load(list(version)) if version else spark.createDataFrame([], self.schema)
+        if version is not None:
+            return reader.load(list(version)) if version else spark.createDataFrame([], self.schema)
+        rows = reader.load(self.path)
+        return rows.unionByName(reader.load(f"{self._end}/{_LAST}")) if self.finished(spark) else rows
 
     def version(self, spark):
         return sorted(self.table(spark).inputFiles())
 
+    @property
+    def _end(self) -> str:
+        return f"{self.path.rstrip('/')}-end"
+
+    def finished(self, spark):
+        return bool(committed_names(spark, self._end, _LAST))
+
+    def finish(self, rows):
+        typed = rows.select(*(F.col(field.name).cast(field.dataType) for field in self.schema))
+        typed.write.format(self.file_format).options(**self.options).mode("overwrite").save(f"{self._end}/{_LAST}")
+
 
 class BatchSink(Sink):
     """Runs a step on every micro-batch alone and keeps its result with the ``batch_id``."""
