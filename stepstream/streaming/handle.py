@@ -150,7 +150,9 @@ def run_step(
     what is there and end, or ``None`` to start each micro-batch when the last one
     is done. A run with the ``checkpoint`` of an earlier one goes on where that ended. By default a
     sink that keeps files has its own, so a step that starts again on its table takes new rows only.
-    ``conf`` holds session settings for this query alone, e.g. :data:`ROCKSDB_STATE`.
+    A second run on the table of a ``foreachBatch`` sink, from any session, takes it over: the first fails at its next batch.
+    A batch that it has begun to write is not stopped, and may meet one of the second run in the same folder; stop the first
+    where it can be reached. ``conf`` holds session settings for this query alone, e.g. :data:`ROCKSDB_STATE`.
     """
     if mode not in OUTPUT_MODES:
         raise ValueError(f"mode must be one of {', '.join(OUTPUT_MODES)}, not {mode!r}")
@@ -160,6 +162,8 @@ def run_step(
     if sink.finished(spark):
         raise ValueError(f"the table of step {step_id!r} is finished")
     sink.bind(step_id)
+    if sink.leased:
+        sink.take_over(spark)
     writer = sink.attach(df.writeStream.queryName(step_id).outputMode(mode))
     if checkpoint is not None or sink.recoverable:
         checkpoint = checkpoint or sink.checkpoint or new_dir(spark, "checkpoint")

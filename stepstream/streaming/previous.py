@@ -88,6 +88,8 @@ class PreviousSink(Sink):
     batch all of them; older parts are then removed. A batch reads at most that many parts, and of them its own keys only.
     """
 
+    leased = True
+
     def __init__(
         self,
         path: str,
@@ -107,7 +109,7 @@ class PreviousSink(Sink):
         self.name = name
 
     def attach(self, writer):
-        return writer.foreachBatch(self._write)
+        return writer.foreachBatch(self._fenced(self._write))
 
     def _valued(self, rows):
         return rows.withColumn(_VALUE, self.value(rows))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from stepstream.workspace import committed_names, committed_parts, file_names, remove, write_text
+from stepstream.workspace import claim, committed_names, committed_parts, file_names, remove, write_text
 
 BATCH_ID = "batch_id"
 BASE = -1  # stands below all batches
@@ -28,6 +28,7 @@ TIMESTAMP_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 class Sink:
     recoverable = True
     path: str | None = None
+    leased = False  # whether batches are written by functions of ours, which Spark does not keep from meeting those of another run
     _checkpoint: str | None = None
 
     @property
@@ -49,6 +50,34 @@ class Sink:
         """Names of what the table consists of now. Files and parts of a table are never changed, only added and removed."""
         raise TypeError(f"a {type(self).__name__} keeps no versions")
 
+    def take_over(self, spark: SparkSession) -> None:
+        """Number the run that is about to start. Batches of earlier runs on the table, in any session, are refused from then on."""
+        number = max(self._leases(spark), default=0) + 1
+        while not claim(spark, f"{self._lease_folder}/{number}"):  # another session was faster
+            number += 1
+        self._lease = number
+        for older in self._leases(spark):
+            if older < number:
+                remove(spark, f"{self._lease_folder}/{older}")
+
+    @property
+    def _lease_folder(self) -> str:
+        return f"{self.path.rstrip('/')}-leases"
+
+    def _leases(self, spark) -> list[int]:
+        return [int(name) for name in file_names(spark, self._lease_folder) if name.isdecimal()]
+
+    def _fenced(self, write):
+        """``write`` for the batches of this run, as long as no later one has taken the table over."""
+        lease = self._lease
+
+        def write_if_last(batch, batch_id):
+            if max(self._leases(batch.sparkSession), default=0) != lease:
+                raise RuntimeError(f"a later run has taken over {self.path}; batch {batch_id} is not written")
+            write(batch, batch_id)
+
+        return write_if_last
+
     def finished(self, spark: SparkSession) -> bool:
         """Whether :meth:`finish` has ended the table."""
         return False
@@ -154,13 +183,15 @@ class FileSink(Sink):
 class BatchSink(Sink):
     """Runs a step on every micro-batch alone and keeps its result with the ``batch_id``."""
 
+    leased = True
+
     def __init__(self, path: str, schema: T.StructType, step: Callable[[DataFrame], DataFrame]):
         self.path = path
         self.schema = schema
         self.step = step
 
     def attach(self, writer):
-        return writer.foreachBatch(self.write_batch)
+        return writer.foreachBatch(self._fenced(self.write_batch))
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         place = f"{self.path}/{BATCH_ID}={batch_id}"
@@ -279,6 +310,8 @@ class CompleteSink(Sink):
     The last ``versions`` results are kept, so a reader of the last one is not disturbed by the next.
     """
 
+    leased = True
+
     def __init__(self, path: str, schema: T.StructType, versions: int = 2):
         if versions < 2:
             raise ValueError("at least two versions are needed")
@@ -287,7 +320,7 @@ class CompleteSink(Sink):
         self.versions = versions
 
     def attach(self, writer):
-        return writer.foreachBatch(self._write)
+        return writer.foreachBatch(self._fenced(self._write))
 
     def _write(self, batch, batch_id):
         spark = batch.sparkSession

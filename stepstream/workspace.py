@@ -79,6 +79,12 @@ def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> No
             raise OSError(f"cannot move {here} to {there}")
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False if it is there already."""
+    files, there = _hadoop(spark, path)
+    return files.createNewFile(there)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file whole, in place of any that is there."""
     files, there = _hadoop(spark, path)
