@@ -2,8 +2,8 @@
 
 Strings that are equal have the same least hash among their runs of 32 bytes (grams). So each text is cut into
 stretches of consecutive strings with the same least hash, and only stretches whose hash occurs again, in any text, can hold a
-repeated string; the rest is settled by counting hashes. Of the stretches left, equal ones with equal bytes
-around are repeated as a whole and need no look at their texts.
+repeated string, or those that have one twice themselves, as a run of one character does; the rest is settled by counting hashes.
+Of the stretches left, equal ones with equal bytes around are repeated as a whole and need no look at their texts.
 
 What differs is compared in full. The distinct stretches, each with the bytes of all its strings, are dealt into shards by their hash.
 A shard sorts all suffixes of its bytes by Larsson and Sadakane's refinement: sorted by
@@ -41,7 +41,7 @@ _AT_ONCE = 1 << 20  # strings of a text hashed at a time
 _TEXTS_KNOWN = 1 << 16  # that a task remembers to have met
 _ROWS_AT_ONCE = 1 << 13
 _MIXED_BY = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]  # odd numbers that mix bits well
-_STRETCHES = "hash bigint, same bigint, text_id bigint, size int, first int, strings int"
+_STRETCHES = "hash bigint, same bigint, text_id bigint, size int, first int, strings int, twice boolean"
 _PIECES = "shard int, hash bigint, same bigint, spread int, piece binary"
 _FOUND = "hash bigint, same bigint, first int, last int, part int, digests binary, owners binary, places binary"
 
@@ -87,10 +87,16 @@ def stretches(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _may_repeat(piece: bytes, strings: int) -> bool:
+    """Whether a stretch can have a string twice. All of its strings have the run of 32 bytes at the start of the last, so it must come again."""
+    shared = piece[strings - 1 : strings - 1 + GRAM]
+    return piece.find(shared, strings, 2 * strings - 2 + GRAM) >= 0
+
+
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The stretches of each text. Of copies that a task meets, two are enough to know that they are repeated."""
     names = [f.split()[0] for f in _STRETCHES.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
     met, waiting, amount = {}, [], 0
 
     def batch_of(rows):
@@ -109,10 +115,11 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = text.as_py()
             hashes, first, strings = stretches(text)
             ends = (first + strings + STRING - 1).tolist()
-            same = [xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(first.tolist(), ends)]
+            pieces = [text[a:b] for a, b in zip(first.tolist(), ends)]
             n = len(hashes)
-            same = np.array(same, dtype=np.uint64).view(np.int64)
-            waiting.append((hashes.view(np.int64), same, *(np.full(n, x) for x in known), first, strings))
+            same = np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), np.uint64, n).view(np.int64)
+            twice = np.fromiter(map(_may_repeat, pieces, strings.tolist()), bool, n)
+            waiting.append((hashes.view(np.int64), same, *(np.full(n, x) for x in known), first, strings, twice))
             amount += n
             if amount >= _ROWS_AT_ONCE:
                 yield batch_of(waiting)
@@ -299,13 +306,14 @@ def repeated_strings(docs: DataFrame, id: str, text: str) -> DataFrame:
     folder = new_dir(spark, "stretches")
     texts.select("text_id", "size", "text").mapInArrow(_cut_texts, _STRETCHES).write.option("compression", "zstd").parquet(folder)
     every = spark.read.schema(_STRETCHES).parquet(folder)
-    again = every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    again = every.groupBy("hash").agg(F.count("*").alias("n"), F.bool_or("twice").alias("twice")).where("n > 1 or twice").select("hash")
     kept = settled(every.join(again, "hash"))
 
     at = F.struct("text_id", "size", "first", "strings")
-    classes = settled(kept.groupBy("hash", "same").agg(F.count("*").alias("n"), F.min(at).alias("at")))
-    kinds = classes.groupBy("hash").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    unlike = settled(classes.join(kinds, "hash").select("hash", "same", "kinds", "at.*"))
+    open_ = ((F.count("*") == 1) & F.bool_or("twice")).alias("open")  # classes of more are repeated as a whole
+    classes = settled(kept.groupBy("hash", "same").agg(F.count("*").alias("n"), F.min(at).alias("at"), open_))
+    kinds = classes.groupBy("hash").agg(F.count("*").alias("kinds"), F.bool_or("open").alias("open")).where("kinds > 1 or open")
+    unlike = settled(classes.join(kinds.drop("open"), "hash").select("hash", "same", "kinds", "at.*"))
     found = _compared(texts, unlike)
 
     whole = classes.where("n > 1").select("hash", "same", F.array(F.struct(F.lit(0).alias("first"), (F.col("at.strings") - 1).alias("last"))).alias("marks"))

@@ -104,3 +104,19 @@ def test_query(spark, make_docs, rows, tmp_path):
     make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
     found = sorted(map(tuple, query(spark, str(tmp_path)).collect()), key=repr)
     assert found == sorted([(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in expected(rows)], key=repr)
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_repeats_within_one_stretch(make_docs, prose, few, monkeypatch):
+    """Runs that are periodic and short, so their strings have one hash, which no other place has."""
+    if few:
+        for name, value in {"SHARD_BYTES": 2000, "SPREAD_FROM": 3, "MERGED": 200}.items():
+            monkeypatch.setattr(suffix_dedup, name, value)
+    texts = ["x" * 250, "x" * 199 + "y", "é" * 101, prose(40, 1) + "=" * 230 + prose(40, 2)]
+    for i in range(1, 200, 9):
+        unit = prose(60, 20 + i).encode()[:i].decode(errors="ignore")
+        texts += [prose(9, 300 + i) + (unit * 300)[: 200 + i + i % 4] + prose(9, 600 + i), unit * (400 // i)]
+    rows = list(enumerate(texts))
+    wanted = expected(rows)
+    assert sum(r[2] > 0 for r in wanted) > 25
+    assert dropped(make_docs(rows)) == wanted
