@@ -39,7 +39,6 @@ from stepstream.streaming import (
     LateRowsSink,
     PreviousSink,
     UpsertSink,
-    previous_in_state,
     run_step,
 )
 from stepstream.streaming.handle import AVAILABLE_NOW, ROCKSDB_STATE
@@ -317,13 +316,13 @@ def latest_per_key(spark, folder):
 
 
 def previous_event(spark, folder):
-    """What is carried from span to span lies in the state store."""
+    """The last row of each user is carried from span to span."""
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts")
 
-    def step(df):
-        return previous_in_state(df, epoch_millis(df, "ts"), ["ts", "event_id"], ["user_id"], name="last_ms")
+    def make_sink(path, schema):
+        return PreviousSink(path, schema, lambda df: epoch_millis(df, "ts"), ["ts", "event_id"], ["user_id"], name="last_ms")
 
-    rows = in_batches(_spans(events), step, FileSink, conf=ROCKSDB_STATE)[-1].table()
+    rows = in_batches(_spans(events), lambda df: df, make_sink)[-1].table()
     return rows.select("event_id", "user_id", epoch_millis(rows, "ts").alias("current_ms"), "last_ms")
 
 
@@ -341,10 +340,10 @@ def previous_event_global(spark, folder):
 def previous_amount(spark, folder):
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
 
-    def step(df):
-        return previous_in_state(df, F.col("value"), ["ts", "event_id"], ["user_id"], name="last_value")
+    def make_sink(path, schema):
+        return PreviousSink(path, schema, lambda df: F.col("value"), ["ts", "event_id"], ["user_id"], name="last_value")
 
-    rows = in_batches(_spans(events), step, FileSink, conf=ROCKSDB_STATE)[-1].table()
+    rows = in_batches(_spans(events), lambda df: df, make_sink)[-1].table()
     return rows.select("event_id", "user_id", "value", "last_value")
 
 

@@ -3,10 +3,11 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stepstream.catalogue.streams import in_batches, run_through
+from stepstream.catalogue.streams import STREAM_QUERIES, in_batches, run_through
 from stepstream.functions import epoch_millis, squared_pairs, with_arrival_time
 from stepstream.operators import (
     argmax,
@@ -448,3 +449,14 @@ def test_json_as_a_streaming_sink(spark):
     ]
     runs = in_batches(batches, lambda df: df, lambda p, s: FileSink(p, s, "json"))
     assert by_key(runs[-1].table()) == by_key(batches[0].union(batches[1]))
+
+
+@pytest.mark.parametrize("name", ["previous_event_stream", "previous_amount_stream"])
+def test_previous_queries_call_no_python_for_a_key(spark, folder, monkeypatch, name):
+    """What a call costs would grow with users times batches."""
+
+    def refuse(*_, **__):
+        raise AssertionError("a Python function for each key")
+
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", refuse)
+    assert STREAM_QUERIES[name](spark, folder).count() == spark.read.parquet(f"{folder}/events.parquet").count()
