@@ -20,8 +20,6 @@ from stepstream.llm.tables import settled
 
 ALLOW, BLOCK = "allow", "block"
 LEAST_URLS = 20  # labelled URLs that a rule needs
-MOST_FREQUENT = 100_000  # times that an item may be frequent on average; beyond 2 million labelled URLs a rule needs more of them
-MOST_ITEMS = 12  # of a URL that rules are mined from: those whose labels differ most from the rest
 CONFIDENCE = 0.8
 BROADCAST_ROWS = 100_000  # rules of some hundred bytes
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,50 +76,50 @@ def site_rule(host: Column, path: Column, rules=SITE_RULES) -> Column:
 
 
 def token_items(labelled: DataFrame, least: int) -> DataFrame:
-    """``token, item, weight`` of the tokens in at least ``least`` rows of ``labelled (id, tokens, label)``.
+    """``token, item, n, verdict`` of the tokens in at least ``least`` rows of ``labelled (id, tokens, label)``.
 
-    Tokens of exactly the same rows share an item, named by the first of them. ``weight`` says how far the labels of
-    its rows are from those of all, in standard deviations.
+    Tokens of exactly the same rows share an item, named by the first of them. ``n`` counts its rows; ``verdict`` is
+    their label if they all have the same, else NULL.
     """
-    blocked = F.avg((F.col("label") == BLOCK).cast("double"))
-    usual = min(max(labelled.agg(blocked).first()[0] or 0.0, 0.01), 0.99)
     sums = [F.sum(F.xxhash64("id", F.lit(i)).cast("decimal(20)")).alias(f"rows_{i}") for i in range(2)]
     seen = labelled.select("id", "label", F.explode("tokens").alias("token"))
-    seen = seen.groupBy("token").agg(F.count("*").alias("n"), blocked.alias("share"), *sums).where(F.col("n") >= least)
-    weight = F.abs(F.col("share") - usual) * F.sqrt(F.col("n") / (usual * (1 - usual)))
+    ends = [F.min("label").alias("low"), F.max("label").alias("high")]
+    seen = seen.groupBy("token").agg(F.count("*").alias("n"), *ends, *sums).where(F.col("n") >= least)
     alike = Window.partitionBy("n", "rows_0", "rows_1")
-    return seen.select("token", F.min("token").over(alike).alias("item"), weight.alias("weight"))
+    verdict = F.when(F.col("low") == F.col("high"), F.col("low")).alias("verdict")
+    return seen.select("token", F.min("token").over(alike).alias("item"), "n", verdict)
 
 
-def as_items(rows: DataFrame, items: DataFrame, most: int | None = None) -> DataFrame:
-    """``rows (id, tokens)`` with an ``id`` of their own as ``id, items``: sorted, at most the ``most`` of greatest weight. Rows without any go."""
-    met = rows.select("id", F.explode("tokens").alias("token")).join(_small(items), "token")
-    own = met.groupBy("id").agg(F.array_sort(F.collect_set(F.struct((-F.col("weight")).alias("under"), "item"))).alias("items"))
-    chosen = F.col("items") if most is None else F.slice("items", 1, most)
-    return own.select("id", F.array_sort(F.transform(chosen, lambda i: i["item"])).alias("items"))
+def as_items(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """``rows (id, tokens)`` with an ``id`` of their own as ``id, items``, sorted. Rows without any go."""
+    met = rows.select("id", F.explode("tokens").alias("token")).join(_small(items.select("token", "item")), "token")
+    return met.groupBy("id").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def mine_rules(
-    labelled: DataFrame, confidence: float = CONFIDENCE, least_urls: int = LEAST_URLS, most_items: int = MOST_ITEMS
-) -> tuple[DataFrame, DataFrame]:
+def mine_rules(labelled: DataFrame, confidence: float = CONFIDENCE, least_urls: int = LEAST_URLS) -> tuple[DataFrame, DataFrame]:
     """``tokens, verdict, confidence, support`` of the rules found in ``labelled (id, tokens, label)``, and the items of tokens.
 
-    The ``tokens`` of a rule are items. ``id`` is the row's own. FP-growth holds the frequent items on the driver, at most ``MOST_FREQUENT`` times the tokens
-    of a URL; sets of more than ``most_items`` items are not looked for, as their number has no bound.
+    The ``tokens`` of a rule are items. ``id`` is the row's own. An item whose rows all have one label is a rule by itself, and any set
+    with it a longer form of that, so only the other items go to FP-growth, which holds the frequent ones on the driver. It looks at all sets of
+    these that are common enough, whose number can double with each such item of a URL.
     """
     labelled = settled(labelled)
-    count = labelled.count()
-    least = max(least_urls, -(-count // MOST_FREQUENT))
-    items = settled(token_items(labelled, least))
-    with_items = as_items(labelled, items, most_items).join(labelled.select("id", "label"), "id")
-    baskets = with_items.select(F.concat("items", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
+    items = settled(token_items(labelled, least_urls))
+    open_items = as_items(labelled, items.where("verdict is null"))
+    having = as_items(labelled, items).select("id").join(labelled.select("id", "label"), "id").join(open_items, "id", "left")
+    none = F.array().cast("array<string>")
+    baskets = having.select(F.concat(F.coalesce("items", none), F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
     baskets = settled(baskets)
-    share = least / max(baskets.count(), 1)
+    count = max(baskets.count(), 1)
+    share = (least_urls - 0.5) / count  # Spark rounds the product up to a count
     model = FPGrowth(minSupport=min(share, 1.0), minConfidence=confidence).fit(baskets)
     verdict = F.substr(F.element_at("consequent", 1), F.lit(len(_LABEL) + 1))
     rules = model.associationRules.where(F.element_at("consequent", 1).startswith(_LABEL))
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), verdict.alias("verdict"), "confidence", "support")
-    return _without_longer_forms(settled(rules)), items
+    rules = _without_longer_forms(settled(rules))
+    sure = items.where("verdict is not null and token = item")
+    sure = sure.select(F.array("item").alias("tokens"), "verdict", F.lit(1.0).alias("confidence"), (F.col("n") / count).alias("support"))
+    return rules.unionByName(sure), items
 
 
 def _small(df: DataFrame) -> DataFrame:

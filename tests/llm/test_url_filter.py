@@ -128,3 +128,25 @@ def test_empty_tables(tables):
     pages, labels = tables(ODD)
     assert {r["verdict"] for r in U.filter_urls(pages, labels, "page_id").collect()} == {"allow", "block"}
     assert U.filter_urls(pages.where("page_id < 0"), labels, "page_id").count() == 0
+
+
+def test_rules_of_the_least_telling_items(spark):
+    """Of 15 items, the two that say nothing alone decide together; the others are noise that says a little each."""
+    rng, baskets = random.Random(5), []
+    for i in range(400):
+        a, b = i % 2, i // 2 % 2
+        label = "block" if a == b else "allow"
+        noise = [f"n{j:02}" for j in range(13) if rng.random() < (0.45 if label == "block" else 0.3)]
+        baskets.append((i, ["a"] * a + ["b"] * b + noise + ["sure"] * (i % 4 == 3), label))
+    mined, items = U.mine_rules(spark.createDataFrame(baskets, "id int, tokens array<string>, label string"))
+    rules = {tuple(r["tokens"]): (r["verdict"], r["confidence"], r["support"]) for r in mined.collect()}
+    assert rules["sure",] == ("block", 1.0, 0.25)  # occurs with a and b only
+    assert {r["token"]: r["verdict"] for r in items.collect() if r["token"] in ("a", "sure")} == {"a": None, "sure": "block"}
+    assert rules["a", "b"] == ("block", 1.0, 0.25)
+
+
+def test_a_rule_needs_no_more_urls_than_stated(spark):
+    for extra in range(8):
+        rows = [(i, ["x"] if i < 20 else [f"y{i % 2}"], "block" if i % 10 else "allow") for i in range(60 + 7 * extra)]
+        mined, _ = U.mine_rules(spark.createDataFrame(rows, "id int, tokens array<string>, label string"), least_urls=18)
+        assert ["x"] in [r["tokens"] for r in mined.collect()]
