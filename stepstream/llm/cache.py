@@ -6,6 +6,8 @@ import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _HOME = "stepstream_worker_objects"
 
 
@@ -21,6 +23,11 @@ def in_worker(make: Callable, *key):
     return kept[name]
 
 
+def give_back() -> None:
+    """At the end of a task: its worker lives on, and other stages need the room that Arrow holds for later batches."""
+    pa.default_memory_pool().release_unused()
+
+
 class Recent(dict):
     """Remembers ``compute(key)``; at ``most`` keys it starts anew, and takes keys that come back from the last lot."""
 
@@ -42,10 +49,3 @@ class Recent(dict):
             self.before = dict(self)
             self.clear()
         self[key] = value
-
-    def put_all(self, items: dict) -> None:
-        """Remembers all ``items``, which may be more than ``most`` until the next ones come."""
-        if len(self) + len(items) > self.most:
-            self.before = dict(self)
-            self.clear()
-        self.update(items)

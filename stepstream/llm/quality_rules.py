@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stepstream.llm.cache import give_back
 from stepstream.llm.tables import settled
 
 SYMBOLS = b"#*$%&|<>"
@@ -76,6 +77,7 @@ def _stats(text: Column) -> Column:
         names = [part.split()[0] for part in _STATS.split(",")]
         for batch in texts:
             yield pd.DataFrame([text_stats(t) for t in batch], columns=names)
+        give_back()
 
     return stats(text)
 

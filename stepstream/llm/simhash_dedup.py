@@ -16,12 +16,15 @@ near copies costs about 64 k links instead of k squared.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stepstream.llm.cache import give_back
 from stepstream.llm.components import connected_components
 from stepstream.llm.tables import settled
 
@@ -56,8 +59,10 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def fingerprint_column(text: Column) -> Column:
     @F.pandas_udf("bigint")
-    def fingerprints(texts: pd.Series) -> pd.Series:
-        return texts.map(fingerprint).astype("int64")
+    def fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield batch.map(fingerprint).astype("int64")
+        give_back()
 
     return fingerprints(text.cast("binary"))
 

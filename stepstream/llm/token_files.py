@@ -23,19 +23,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepstream.llm.cache import Recent, in_worker
+from stepstream.llm.cache import give_back, in_worker
 from stepstream.llm.elias_fano import EliasFano
 from stepstream.workspace import new_dir
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 21  # a block ends with the document that reaches so many ids
-WORDS_KEPT = 400_000  # in each lot of the cache of a Python worker; about 75 MB
+WORDS_KEPT = 800_000  # that a Python worker remembers, in about 20 MB
+BYTES_KEPT = 1 << 25  # of these words
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\"  # all of ASCII but the apostrophe, which the tokenizer may join to letters
 _ALNUM = np.array([chr(c).isascii() and chr(c).isalnum() for c in range(256)])
 _MARK, _MARKED = "\x01", 256  # words at a time
-_BYTES_AT_ONCE = 1 << 23  # of texts whose distinct words are found together
+_BYTES_AT_ONCE = 1 << 22  # of texts whose distinct words are found together
 _WORDS_AT_ONCE = 1 << 18
+_NEW_AT_ONCE = 1 << 14  # words that are Python objects together
 _BLOCKS = (
     "part int, block int, base bigint, id_bytes int, doc_ids array<bigint>, "
     "count int, limit bigint, width int, low binary, high binary, samples binary, ids binary"
@@ -47,7 +49,7 @@ class TextEncoder:
     """Ids of whole texts as bytes, for a vocabulary whose tokenizer never looks past white space, and drops it.
 
     So texts are cut at ASCII white space, and each distinct word of a lot of texts is encoded once by the library and
-    remembered. Other white space stays in the words for the library. Of words that are ASCII throughout, capitals are taken as
+    remembered, in whole columns: an Arrow array of the words, the ids of all, and how many each has. Other white space stays in the words for the library. Of words that are ASCII throughout, capitals are taken as
     small letters and signs at the end apart, as the tokenizer does, before that; any other word is left to it as it stands. The library gets many
     words at a time with a mark between them.
     """
@@ -58,7 +60,11 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.id_bytes = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.words = Recent(WORDS_KEPT)
+        self.kind = f"<u{self.id_bytes}"
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.ids, self.sizes = pa.array([], pa.string()), np.empty(0, self.kind), np.empty(0, np.int32)
 
     def encode(self, texts: pa.StringArray, end: int | None = END_ID) -> list[bytes]:
         """Ids of each text, in little-endian integers of ``id_bytes``, each followed by ``end``."""
@@ -66,43 +72,59 @@ class TextEncoder:
         cut = pc.ascii_split_whitespace(texts)
         words = cut.flatten().dictionary_encode()
         parts = _parts(words.dictionary).dictionary_encode()
-        coded = self._coded(parts.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.id_bytes
-        at = parts.indices.to_numpy(zero_copy_only=False)
-        of_words = _joined(np.frombuffer(b"".join(coded), f"<u{self.id_bytes}"), sizes, at)
+        pool, sizes, place = self._coded(parts.dictionary)
+        at = place[parts.indices.to_numpy(zero_copy_only=False)]
+        of_words = _joined(pool, sizes, at)
         sizes, index = sizes[at].reshape(-1, 2).sum(axis=1), words.indices.to_numpy(zero_copy_only=False)
         ids = _joined(of_words, sizes, index)
         word_ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
         ends = np.append(0, np.cumsum(sizes[index]))[np.append(0, word_ends)].tolist()
         return [ids[a:b].tobytes() + last for a, b in zip(ends, ends[1:])]
 
-    def _coded(self, parts: list[str]) -> list[bytes]:
-        known, before = self.words.get, self.words.before.get
-        coded = [before(part) if (ids := known(part)) is None else ids for part in parts]  # one of the last lot is looked up there until it is forgotten
-        asked = [i for i, ids in enumerate(coded) if ids is None]
-        new = [parts[i] for i in asked]
-        found = self._library(new)
-        for i, ids in zip(asked, found):
-            coded[i] = ids
-        self.words.put_all(dict(zip(new, found)))
-        return coded
-
-    def _library(self, words: list[str]) -> list[bytes]:
-        """Ids of each word. The mark is a pre-token of its own and has one id, which only a word with the mark could have as well."""
-        encode, kind, mark = self.tokenizer.encode_batch_fast, f"<u{self.id_bytes}", f" {_MARK} "
+    def _coded(self, parts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words remembered and of the new ones of ``parts``, how many each has, and the place of each part among them."""
+        known = pc.index_in(parts, value_set=self.words)
+        new = parts.filter(pc.is_null(known))
+        found = [self._library(new.slice(i, _NEW_AT_ONCE).to_pylist()) for i in range(0, len(new), _NEW_AT_ONCE)]
+        ids = np.concatenate([self.ids, *[some for some, _ in found]])
+        sizes = np.concatenate([self.sizes, *[some for _, some in found]])
+        place = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).copy()
+        place[place < 0] = len(self.words) + np.arange(len(new))
+        self._remember(parts, new, ids, sizes, place)
+        return ids, sizes, place
+
+    def _remember(self, parts: pa.StringArray, new: pa.StringArray, ids: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> None:
+        """The new words too; if that is too many, those of ``parts`` alone, or none if these are too many as well."""
+        if _fit(self.words, new):
+            if len(new):
+                self.words, self.ids, self.sizes = pa.concat_arrays([self.words, new]), ids, sizes
+        elif _fit(parts):
+            self.words, self.ids, self.sizes = parts, _joined(ids, sizes, place), sizes[place]
+        else:
+            self._forget()
+
+    def _library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has. The mark is a pre-token of its own and has one id, which only a word with the mark could have as well."""
+        encode, mark = self.tokenizer.encode_batch_fast, f" {_MARK} "
         found = dict.fromkeys(words)
         alone = [word for word in words if _MARK in word]
         for word, encoding in zip(alone, encode(alone, add_special_tokens=False)):
-            found[word] = np.array(encoding.ids, kind).tobytes()
+            found[word] = np.array(encoding.ids, self.kind).tobytes()
         rest = [word for word in words if found[word] is None]
         lots = [rest[i : i + _MARKED] for i in range(0, len(rest), _MARKED)]
         mark_id = encode([_MARK], add_special_tokens=False)[0].ids[0]
         for lot, encoding in zip(lots, encode([mark.join(lot) + mark for lot in lots], add_special_tokens=False)):
-            ids = np.array(encoding.ids, kind)
+            ids = np.array(encoding.ids, self.kind)
             coded, ends = ids.tobytes(), (np.flatnonzero(ids == mark_id) * self.id_bytes).tolist()
             starts = [0, *[end + self.id_bytes for end in ends]]
             found.update(zip(lot, [coded[a:b] for a, b in zip(starts, ends)]))
-        return list(found.values())
+        sizes = np.fromiter(map(len, found.values()), np.int32, len(found)) // self.id_bytes
+        return np.frombuffer(b"".join(found.values()), self.kind), sizes
+
+
+def _fit(*words: pa.StringArray) -> bool:
+    """Whether a worker may remember these."""
+    return sum(map(len, words)) <= WORDS_KEPT and sum(pc.sum(pc.binary_length(some)).as_py() or 0 for some in words) <= BYTES_KEPT
 
 
 def _parts(words: pa.StringArray) -> pa.StringArray:
@@ -170,7 +192,7 @@ def _write_part(path: str, block_ids: int, end: int | None):
                         doc_ids, coded, ends = [], [], [0]
         if doc_ids:
             yield row()
-        pa.default_memory_pool().release_unused()  # the worker lives on, and other stages need the room
+        give_back()
 
     return write
 
@@ -241,6 +263,7 @@ def _read_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "ids_crc32": crc,
                 }
             )
+    give_back()
 
 
 def token_table(docs: DataFrame, **options) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import unicodedata
 import zlib
 
@@ -75,6 +76,34 @@ def test_a_small_memory_and_long_texts(library, prose, monkeypatch):
     assert found == [np.array([*e.ids, 1], "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("most_words, most_bytes", [(150, 1 << 20), (1 << 20, 700), (1 << 20, 40), (0, 0)])
+def test_forgotten_words_come_out_the_same(library, prose, monkeypatch, most_words, most_bytes):
+    monkeypatch.setattr(token_files, "WORDS_KEPT", most_words)
+    monkeypatch.setattr(token_files, "BYTES_KEPT", most_bytes)
+    encoder, seen = TextEncoder(PATH), set()
+    for i in range(30):
+        texts = [prose(20, i % 7), prose(10, i), "", "Ǆ é's \x01 b!"][i % 2 :]
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode(pa.array(texts), None)] == expected
+        assert len(encoder.words) <= most_words and sum(len(w.encode()) for w in encoder.words.to_pylist()) <= most_bytes
+        assert len(encoder.words) == len(encoder.sizes) and len(encoder.ids) == encoder.sizes.sum()
+        seen.add(len(encoder.words))
+    assert (len(seen) > 2) == (most_bytes > 40)
+
+
+def test_remembered_words_are_small():
+    words, encoder = 30_000, TextEncoder(PATH)
+    encoder.encode(pa.array(["a few"]))
+    text = pa.array([" ".join(f"w{i:x}" for i in range(words))])
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    encoder.encode(text)
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(encoder.words) >= words
+    assert held < 50 * words
+
+
 def expected(library, rows):
     """By rising id, NULL first; rows of one id in the order of their start."""
     out = []
