@@ -9,19 +9,26 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
-from stepstream.llm.cache import Recent, in_worker
+from stepstream.llm.cache import Recent, give_back, in_worker
+from stepstream.llm.token_files import _lots
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
-PIECES_KEPT = 300_000  # in each lot of each cache of a Python worker; about 50 MB
+CHUNKS_KEPT = 500_000  # that a Python worker remembers, in about 10 MB
+PIECES_KEPT = 50_000  # in each of two lots; about 10 MB
+BYTES_KEPT = 64  # of the longest chunk or piece that is remembered
+_NEW_AT_ONCE = 1 << 14  # chunks that are Python objects together
 _STARTS_WITH_SPACE = regex.compile(r"\s")
 
 
@@ -47,7 +54,7 @@ class TokenCounter:
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.special_bytes = [s.encode() for s in specials]
         self.pattern = regex.compile(pattern)
-        self.chunks = Recent(PIECES_KEPT, self._chunk)
+        self.chunks = _Counts(CHUNKS_KEPT, self._chunk)
         self.pieces = Recent(PIECES_KEPT, lambda piece: self.merge(piece.encode()))
 
     def merge(self, piece: bytes) -> int:
@@ -87,44 +94,106 @@ class TokenCounter:
         return tokens
 
     def _segment(self, text: str) -> int:
-        return sum(map(self.pieces.__getitem__, self.pattern.findall(text)))
+        return sum(map(self._piece, self.pattern.findall(text)))
+
+    def _piece(self, piece: str) -> int:
+        long = len(piece) * 4 > BYTES_KEPT and len(piece.encode()) > BYTES_KEPT
+        return self.merge(piece.encode()) if long else self.pieces[piece]
 
     def _chunk(self, chunk: bytes) -> int:
+        """Tokens of a chunk after a space, or -1: it goes on in white space, which the tokenizer cuts otherwise."""
         text = chunk.decode()
         if not text or _STARTS_WITH_SPACE.match(text):
-            raise _NotAlone
+            return -1
         return self._segment(" " + text)
 
-    def count(self, text: bytes) -> int:
-        """Tokens of a whole text; special strings in it are one token each.
+    def _whole(self, text: str) -> int:
+        if not self.special:
+            return self._segment(text)
+        return sum(map(self._segment, self.special.split(text))) + len(self.special.findall(text))
+
+    def counts(self, texts: pa.BinaryArray) -> np.ndarray:
+        """Tokens of whole texts; special strings in them are one token each.
 
         A space before a character that is not white always starts a piece, so chunks
-        from space to space can be counted apart, and remembered.
+        from space to space can be counted apart, each distinct one of the texts once,
+        and remembered.
         """
-        if any(s in text for s in self.special_bytes):
-            text = text.decode()
-            return sum(map(self._segment, self.special.split(text))) + len(self.special.findall(text))
-        first, *chunks = text.split(b" ")
-        try:
-            return self._segment(first.decode()) + sum(map(self.chunks.__getitem__, chunks))
-        except _NotAlone:
-            return self._segment(text.decode())
+        cut = pc.split_pattern(texts, b" ")
+        chunks, sizes = cut.flatten(), pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+        later = np.ones(len(chunks), bool)
+        later[starts] = False
+        words = chunks.filter(pa.array(later)).dictionary_encode()
+        found = np.zeros(len(chunks), np.int64)
+        found[later] = self.chunks.of(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
+        whole = np.logical_or.reduceat(found < 0, starts)
+        for special in self.special_bytes:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        counts = np.add.reduceat(found, starts)
+        for i, start in enumerate(starts):
+            if whole[i]:
+                counts[i] = self._whole(texts[i].as_py().decode())
+            else:
+                counts[i] += self._segment(chunks[start].as_py().decode())
+        return counts
+
+    def count(self, text: bytes) -> int:
+        """Tokens of one whole text."""
+        return int(self.counts(pa.array([text], pa.binary()))[0])
+
+
+class _Counts:
+    """Remembers ``compute`` of short byte strings in whole columns; beyond ``most`` it goes on with those of the last call alone."""
+
+    def __init__(self, most: int, compute: Callable[[bytes], int]):
+        self.most, self.compute = most, compute
+        self.words, self.found = pa.array([], pa.binary()), np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def of(self, words: pa.BinaryArray) -> np.ndarray:
+        """``compute`` of each of these distinct strings."""
+        known = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(known))
+        some = (new.slice(i, _NEW_AT_ONCE).to_pylist() for i in range(0, len(new), _NEW_AT_ONCE))
+        counted = np.fromiter((self.compute(word) for lot in some for word in lot), np.int64, len(new))
+        place = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).copy()
+        place[place < 0] = len(self.words) + np.arange(len(new))
+        found = np.append(self.found, counted)[place]
+        self._remember(*_short(new, counted), *_short(words, found))
+        return found
+
+    def _remember(self, new: pa.BinaryArray, counted: np.ndarray, words: pa.BinaryArray, found: np.ndarray) -> None:
+        if len(self.words) + len(new) > self.most:
+            # a copy, as a slice would keep all it was cut from
+            self.words, self.found = pa.concat_arrays([words.slice(0, self.most), words.slice(0, 0)]), found[: self.most].copy()
+        elif len(new):
+            self.words, self.found = pa.concat_arrays([self.words, new]), np.append(self.found, counted)
+
 
+def _short(words: pa.BinaryArray, found: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
+    short = pc.less_equal(pc.binary_length(words), BYTES_KEPT)
+    return words.filter(short), found[short.to_numpy(zero_copy_only=False)]
 
-class _NotAlone(Exception):
-    """The chunk goes on in white space, which the tokenizer cuts otherwise."""
 
+def _count_last(path: str):
+    """A function that puts token counts in place of the last column, which has texts as bytes."""
 
-def count_column(text: Column, path: str) -> Column:
-    """Token count of a text column for the vocabulary at ``path``, which every executor must be able to read."""
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counter, *keep = in_worker(TokenCounter, path), *batch.columns[:-1]
+        counts = [np.empty(0, np.int64)]
+        for _, texts in _lots(batch.columns[-1]):
+            counts.append(counter.counts(texts))
+            give_back()
+        return pa.RecordBatch.from_arrays([*keep, pa.array(np.concatenate(counts))], batch.schema.names)
 
-    @F.pandas_udf("bigint")
-    def counts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = in_worker(TokenCounter, path)
-        for batch in texts:
-            yield pd.Series([counter.count(t or b"") for t in batch], dtype="int64")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(counted, batches)  # no batch is held while the next one comes
+        give_back()
 
-    return counts(text.cast("binary"))
+    return count
 
 
 def count_tokens(
@@ -133,12 +202,14 @@ def count_tokens(
     """``keep``, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every row.
 
     A NULL text counts as empty and has 0 of both. Repeated rows come out repeated,
-    an empty table gives no rows, and other columns are not looked at.
+    an empty table gives no rows, and other columns are not looked at. The vocabulary at
+    ``path`` must be readable on every executor.
     """
     path = path or public_tokenizers.path(VOCABULARY)
-    counted = docs.select(
+    rows = docs.select(
         *keep,
         F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"),
-        count_column(F.col(text), path).alias("n_tokens"),
+        F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("n_tokens"),
     )
+    counted = rows.mapInArrow(_count_last(path), StructType(rows.schema.fields[:-1]).add("n_tokens", LongType()))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
